@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .decontaminate import is_contaminated, scan_documents
+from .mixing import mix
 from .token_counts import encoded_length, length_histogram
 from .url_filters import judge_urls
 
@@ -41,3 +42,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("scan.items", ","), 256).alias("items_sha256"),
         is_contaminated().alias("contaminated"),
     )
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    each = plan.withColumn("copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
+    return each.select("doc_id", "size", "source_size", "target", (F.col("times") * F.col("size")).alias("taken"))
