@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .common import table
 from .decontaminate import is_contaminated, scan_documents
 from .mixing import mix
+from .sharding import place_documents
 from .token_counts import encoded_length, length_histogram
 from .url_filters import judge_urls
 
@@ -48,3 +49,12 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     each = plan.withColumn("copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
     return each.select("doc_id", "size", "source_size", "target", (F.col("times") * F.col("size")).alias("taken"))
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharded(table(spark, sf_dir, "documents"))
+
+
+def sharded(docs: DataFrame) -> DataFrame:
+    placed = place_documents(docs.select("doc_id", "text"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
