@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from . import language_id, toxicity
+from .common import fold, table
 from .decontaminate import is_contaminated, scan_documents
 from .mixing import mix
 from .sharding import place_documents
@@ -58,3 +59,17 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sharded(docs: DataFrame) -> DataFrame:
     placed = place_documents(docs.select("doc_id", "text"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs)
+    found = docs.select("doc_id", (fold("doc_id", language_id.FOLDS) == 0).alias("held_out"), language_id.language(docs, model).alias("found"))
+    return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", (fold("doc_id", toxicity.FOLDS) == 0).alias("held_out"), toxicity.toxicity(docs, model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
