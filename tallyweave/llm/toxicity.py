@@ -24,10 +24,10 @@ from .common import fold
 POSITIVES, UNLABELLED = 3000, 6000
 FOLDS = 5
 PREFIXES = (4, 5, 6)
-#: A feature is kept if this many confirmed texts have it, and so many standard errors more often than unlabelled ones.
-LEAST_TEXTS, LEAST_Z = 4, 4.0
-MOST_FEATURES = 50_000
-EPOCHS, BATCHES, RATE, DECAY = 60, 4, 0.05, 1e-3
+#: A feature is kept if so many confirmed texts, and this share of them, have it, so many standard errors more often than unlabelled ones.
+LEAST_TEXTS, LEAST_SHARE, LEAST_Z = 4, 0.02, 6.0
+MOST_FEATURES = 20_000
+EPOCHS, BATCHES, RATE, DECAY = 120, 2, 0.05, 5e-6
 #: Tokens whose features are remembered at a time by one Python worker.
 REMEMBERED = 400_000
 
@@ -71,7 +71,10 @@ class Reader:
 
 
 def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, seed: int = 7) -> Model:
-    """Minimise prior * R_P(+) + max(0, R_U(-) - prior * R_P(-)) with the logistic loss."""
+    """Minimise prior * R_P(+) + max(0, R_U(-) - prior * R_P(-)) with the logistic loss.
+
+    Features are signs of toxicity only: weights are kept at 0 or more.
+    """
     if not positive or not unlabelled or not 0 < prior < 1:
         return Model(-30.0 if prior <= 0 else 0.0, {}, prior)
     ids, back = np.unique(np.concatenate(positive + unlabelled), return_inverse=True)
@@ -83,7 +86,7 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
     in_u = np.bincount(back[~is_p[rows]], minlength=len(ids))
     both = (in_p + in_u) / (n_p + n_u)
     z = (in_p / n_p - in_u / n_u) / np.sqrt(np.maximum(both * (1 - both), 1e-12) * (1 / n_p + 1 / n_u))
-    kept = np.flatnonzero((in_p >= min(LEAST_TEXTS, n_p)) & (z >= LEAST_Z))
+    kept = np.flatnonzero((in_p >= min(n_p, max(LEAST_TEXTS, LEAST_SHARE * n_p))) & (z >= LEAST_Z))
     kept = kept[np.argsort(-z[kept], kind="stable")[:MOST_FEATURES]]
     place = np.full(len(ids), -1)
     place[kept] = np.arange(len(kept))
@@ -107,12 +110,12 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
             loss_neg = np.logaddexp(0, out)
             risk_neg = loss_neg[~p].mean() - prior * loss_neg[p].mean()
             pull_neg = np.where(p, -prior / p.sum(), 1 / (~p).sum()) * sigmoid(out)
-            pull = np.where(p, -prior / p.sum() * sigmoid(-out), 0.0) + pull_neg if risk_neg >= 0 else -pull_neg
-            grad = np.append(np.bincount(cols[take], weights=pull[local], minlength=len(kept)) + DECAY * w / len(lengths), pull.sum())
+            pull = np.where(p, -prior / p.sum() * sigmoid(-out), 0.0) + (pull_neg if risk_neg >= 0 else 0.0)
+            grad = np.append(np.bincount(cols[take], weights=pull[local], minlength=len(kept)) + DECAY * w, pull.sum())
             t += 1
             m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
             step = RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-            w, b = w - step[:-1], b - step[-1]
+            w, b = np.maximum(w - step[:-1], 0), b - step[-1]
     return Model(float(b), dict(zip(ids[kept].tolist(), w.tolist(), strict=True)), prior)
 
 
