@@ -9,6 +9,7 @@ from . import language_id, toxicity
 from .common import fold, table
 from .decontaminate import is_contaminated, scan_documents
 from .mixing import mix
+from .neighbours import nearest
 from .sharding import place_documents
 from .token_counts import encoded_length, length_histogram
 from .url_filters import judge_urls
@@ -73,3 +74,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     scored = docs.select("doc_id", (fold("doc_id", toxicity.FOLDS) == 0).alias("held_out"), toxicity.toxicity(docs, model).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
