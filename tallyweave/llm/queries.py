@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from . import language_id, toxicity
 from .common import fold, table
 from .decontaminate import is_contaminated, scan_documents
+from .jaccard_join import near_duplicates
 from .mixing import mix
 from .neighbours import nearest
 from .sharding import place_documents
@@ -78,3 +79,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
