@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import language_id, toxicity
 from .common import fold, table
+from .context_mixing import score_texts
 from .decontaminate import is_contaminated, scan_documents
 from .jaccard_join import near_duplicates
 from .mixing import mix
@@ -83,3 +84,7 @@ def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
