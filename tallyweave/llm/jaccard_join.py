@@ -30,7 +30,9 @@ HASHES, BAND = 96, 4
 BANDS = HASHES // BAND
 #: MinHash values compared between two prunings, and the tolerance of a pruning.
 STEP, TOLERANCE = 16, 1e-6
-BLOCK = 192
+BLOCK = 512
+#: Pairs compared at a time.
+PAIRS_TOGETHER = 1 << 16
 #: Texts whose shingles are made together.
 TOGETHER = 1000
 FACTORS = np.random.default_rng(20).integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -80,6 +82,12 @@ def likely_pairs(signatures: np.ndarray, band: int, sides: np.ndarray, inside: b
         p, q = np.triu_indices(len(signatures), 1)
     else:
         p, q = (x.ravel() for x in np.meshgrid(np.flatnonzero(sides == 0), np.flatnonzero(sides == 1), indexing="ij"))
+    parts = [survivors(signatures, p[at : at + PAIRS_TOGETHER], q[at : at + PAIRS_TOGETHER], band, threshold, tolerance) for at in range(0, len(p), PAIRS_TOGETHER)]
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (p, q)
+
+
+def survivors(signatures: np.ndarray, p: np.ndarray, q: np.ndarray, band: int, threshold: float, tolerance: float) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs that are not pruned; STEP values more are compared in each round."""
     fewest = least_matches(threshold, tolerance)
     matches = np.zeros(len(p), dtype=np.int64)
     met_before = np.zeros(len(p), dtype=bool)
