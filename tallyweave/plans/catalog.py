@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from . import entities, oracles, web
+
+QUERIES = entities.QUERIES | web.QUERIES
+ORACLES = {name: getattr(oracles, name.upper()) for name in QUERIES if hasattr(oracles, name.upper())}
