@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from .text import band, col, normalize_text, score_of, text_or_empty
 
 REASON_WORDS = 12
+#: A pattern that matches nothing.
+NEVER = "(?!)"
 
 
 @dataclass(frozen=True)
@@ -127,14 +129,14 @@ def score_name(name: Column | str, rules: NameRules, context: Column | str = "",
     others = F.filter(parts, lambda t: ~F.array_contains(known, t))
     checks = [
         (F.arrays_overlap(ends, known), 0.45, "lexicon token"),
-        ((F.size(others) > 0) & F.forall(others, lambda t: t.rlike(rules.token_shape or "$^")), 0.20, "token shape"),
+        ((F.size(others) > 0) & F.forall(others, lambda t: t.rlike(rules.token_shape or NEVER)), 0.20, "token shape"),
         (F.exists(parts, lambda t: F.length(t) == 1), 0.10, "initial"),
-        (normalize_text(col(context) if not isinstance(context, str) or context else F.lit("")).rlike(rules.context or "$^"), 0.15, "context"),
+        (normalize_text(col(context) if not isinstance(context, str) or context else F.lit("")).rlike(rules.context or NEVER), 0.15, "context"),
         (F.size(parts).between(2, 4), 0.05, "length"),
     ]
     added = F.least(number(0.95), total([F.when(c, number(x)).otherwise(number(0)) for c, x, _ in checks]))
     reasons = F.array_join(F.array_compact(F.array(*(F.when(c, F.lit(r)) for c, _, r in checks))), ", ")
-    in_script = raw.rlike(rules.script or "$^")
+    in_script = raw.rlike(rules.script or NEVER)
     stopped = F.arrays_overlap(parts, stops)
     score = score_of(F.when(in_script, number(0.98)).when(stopped, number(0.05)).otherwise(added))
     reason = F.when(in_script, "script").when(stopped, "stop token").otherwise(reasons)
