@@ -77,6 +77,9 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
     """
     if not positive or not unlabelled or not 0 < prior < 1:
         return Model(-30.0 if prior <= 0 else 0.0, {}, prior)
+    seen, times = np.unique(np.concatenate(positive), return_counts=True)
+    common = seen[times >= min(len(positive), max(LEAST_TEXTS, LEAST_SHARE * len(positive)))]
+    positive, unlabelled = ([x[np.isin(x, common, assume_unique=True)] for x in own] for own in (positive, unlabelled))
     ids, back = np.unique(np.concatenate(positive + unlabelled), return_inverse=True)
     lengths = np.array([len(x) for x in positive + unlabelled])
     rows = np.repeat(np.arange(len(lengths)), lengths)
@@ -86,7 +89,7 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
     in_u = np.bincount(back[~is_p[rows]], minlength=len(ids))
     both = (in_p + in_u) / (n_p + n_u)
     z = (in_p / n_p - in_u / n_u) / np.sqrt(np.maximum(both * (1 - both), 1e-12) * (1 / n_p + 1 / n_u))
-    kept = np.flatnonzero((in_p >= min(n_p, max(LEAST_TEXTS, LEAST_SHARE * n_p))) & (z >= LEAST_Z))
+    kept = np.flatnonzero(z >= LEAST_Z)
     kept = kept[np.argsort(-z[kept], kind="stable")[:MOST_FEATURES]]
     place = np.full(len(ids), -1)
     place[kept] = np.arange(len(kept))
