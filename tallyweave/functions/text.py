@@ -126,9 +126,9 @@ def safe_double(c: Column | str) -> Column:
 
 
 def level_key(level: Column | str) -> Column:
-    """Tier that a paper is counted under: TOP, A+, A, A1, A2, else the text itself."""
-    x = F.upper(F.trim(text_or_empty(level)))
-    return F.when(x.contains("TOP"), "TOP").when(x.startswith("A+"), "A+").when(x.startswith("A1"), "A1").when(x.startswith("A2"), "A2").when(x.startswith("A"), "A").otherwise(x)
+    """Level that a paper is counted under: TOP where the text has it, else the text itself."""
+    x = text_or_empty(level)
+    return F.when(F.upper(x).contains("TOP"), "TOP").otherwise(x)
 
 
 def tier_order(level: Column | str) -> Column:

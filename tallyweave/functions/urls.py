@@ -8,14 +8,24 @@ from pyspark.sql import functions as F
 from .text import col, text_or_empty
 
 _PARTS = r"(?s)^https?://([^/?#]*)([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
-STATIC_FILE = r"(?i)\.(css|js|png|jpe?g|gif|svg|ico|pdf|docx?|xlsx?|pptx?|zip|mp4|mp3|xml)$"
-#: Link kinds, tried in order: kind, pattern over path and anchor text, base score.
-LINK_KINDS = (
-    ("noise", r"(login|privacy|contact|news|event|calendar|donate|job|apply|course)", 0.05),
-    ("faculty_list", r"(faculty|people|directory|staff|team)/?(index\.html?)?$", 0.75),
-    ("profile", r"(profile|/people/.+|/faculty/.+|~[a-z])", 0.70),
-    ("organisation", r"(department|school|college|institute|centre|center)", 0.50),
+#: Word lists and scores of the link classifier (fixed values).
+STATIC_FILE = r"(?i)\.(?:pdf|docx?|xlsx?|pptx?|zip|jpg|jpeg|png|gif|svg)$"
+NOISE = (
+    r"news|events?|alumni|admissions?|library|athletics|giving|facebook|twitter|instagram|linkedin|"
+    r"youtube|calendar|maps?|contact|privacy|accessibility|copyright|apply|tuition|donate|socialmedia|"
+    r"student|undergraduate|graduate|catalog|login|gdpr|human-resources|careers?|jobs?|registrar|"
+    r"titleix|publicsafety|website-feedback|visit|tours?|history|awards?|commencement"
 )
+FACULTY = r"faculty|people|profile|profiles|directory|staff|professor|lecturer|instructor|postdoc|phd|doctoral|fellows?"
+PERSON = r"profile|profiles/[^/]+|/people/[^/]+|/faculty/[^/]+|person|bio"
+ORGANIZATION = r"department|school|college|center|centre|institute|program|research|lab|academics?"
+TARGET_FIELD = (
+    r"management|business|operations?|information systems?|analytics|decision|industrial engineering|"
+    r"systems engineering|data science|statistics|economics|finance|marketing|accounting|mse|orfe|"
+    r"管理|运筹|决策|信息系统|数据|统计|金融|市场"
+)
+#: kind: (score, boost for a target field, most)
+LINK_SCORES = {"noise": (0.1, 0, 0.1), "faculty_candidate": (0.78, 0.08, 0.9), "faculty_list": (0.68, 0.08, 0.84), "organization": (0.55, 0.12, 0.72), "unknown": (0.25, 0, 0.25)}
 
 
 def is_http(url: Column | str) -> Column:
@@ -62,13 +72,16 @@ def same_site(a: Column | str, b: Column | str) -> Column:
 def classify_link(url: Column | str, anchor: Column | str) -> Column:
     """struct(kind, score) of a link by its address and anchor text."""
     seen = F.lower(F.concat_ws(" ", col(url), text_or_empty(anchor)))
-    target = F.lower(path(url))
-    kind, score = F.lit("unknown"), F.lit(0.20)
-    for name, pattern, base in reversed(LINK_KINDS):
-        hit = (seen if name != "faculty_list" else target).rlike(pattern)
-        kind, score = F.when(hit, name).otherwise(kind), F.when(hit, base).otherwise(score)
-    boost = F.when(text_or_empty(anchor).rlike(r"(?i)\b(professor|lecturer|faculty)\b"), 0.10).otherwise(0.0)
-    return F.struct(kind.alias("kind"), F.least(F.lit(0.95), F.when(kind == "noise", score).otherwise(score + boost)).cast("decimal(9,4)").alias("score"))
+    kind = (
+        F.when(path(url).rlike(STATIC_FILE) | seen.rlike(NOISE), "noise")
+        .when(seen.rlike(FACULTY), F.when(seen.rlike(PERSON), "faculty_candidate").otherwise("faculty_list"))
+        .when(seen.rlike(ORGANIZATION), "organization")
+        .otherwise("unknown")
+    )
+    in_field, score = seen.rlike(TARGET_FIELD), F.lit(None).cast("double")
+    for name, (base, boost, most) in LINK_SCORES.items():
+        score = F.when(kind == name, F.when(in_field, min(most, round(base + boost, 2))).otherwise(base)).otherwise(score)
+    return F.struct(kind.alias("kind"), score.cast("decimal(9,4)").alias("score"))
 
 
 def absolute_url(href: Column | str, base: Column | str) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import is_blank
 
 #: Strength of a source; unknown ones have none (fixed values).
-RANKS = {"official": 4, "orcid": 3, "semantic_scholar": 2, "dblp": 2, "openalex": 1, "crossref": 1}
+RANKS = {"official_site": 4, "semantic_scholar": 3, "dblp": 2, "crossref": 1, "openalex": 1}
 STRONG, SURE = 3, 0.7
 
 
@@ -23,7 +23,7 @@ def rank_of(source: Column | str, ranks: Mapping[str, int] = RANKS) -> Column:
 
 
 def admissible(proposals: DataFrame, ranks: Mapping[str, int] = RANKS) -> DataFrame:
-    """Proposals that may change their field, with rank and requires_review.
+    """Proposals that may change their field, with rank, is_strong and requires_review.
 
     proposals(person_id, field, new_value, source, confidence, current_value,
     current_source, current_primary_source). Empty or equal values and official
@@ -31,9 +31,9 @@ def admissible(proposals: DataFrame, ranks: Mapping[str, int] = RANKS) -> DataFr
     """
     ranked = proposals.withColumns({"rank": rank_of("source", ranks), "current_rank": rank_of("current_source", ranks)})
     kept = ranked.filter(~is_blank("new_value") & ~F.coalesce(F.col("new_value") == F.col("current_value"), F.lit(False)))
-    kept = kept.filter(F.coalesce(F.lower("current_primary_source"), F.lit("")) != "official")
+    kept = kept.filter(F.coalesce(F.lower("current_primary_source"), F.lit("")) != "official_site")
     kept = kept.filter(is_blank("current_value") | (F.col("rank") >= F.col("current_rank")))
-    return kept.withColumn("requires_review", (F.col("confidence") < SURE) | (F.col("rank") < STRONG))
+    return kept.withColumns({"is_strong": F.col("rank") >= STRONG, "requires_review": F.col("confidence") < SURE})
 
 
 def merge(proposals: DataFrame, ranks: Mapping[str, int] = RANKS) -> DataFrame:

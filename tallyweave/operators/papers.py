@@ -299,7 +299,7 @@ def roll_up(rows: DataFrame, seq: str = "seq", accept: float = 0.7, review: floa
         F.coalesce(sorted_json(F.col("levels")), F.lit("{}")).alias("level_counts_json"),
         *(F.coalesce(k, empty_list()).alias(k) for k in LISTS),
         F.col("name_rule_score"), F.col("name_rule_reason"),
-        F.when(score >= accept, "strong_candidate").when(score >= review, "needs_review").otherwise("rejected").alias("review_status"),
+        F.when((score >= accept) & ((F.col("top_total") > 0) | (F.col("a_plus_total") > 0) | (F.col("last_5_year_total") >= 2)), "strong_candidate").when(score >= review, "needs_review").otherwise("rejected").alias("review_status"),
     )
 
 
@@ -330,9 +330,9 @@ def candidate_rules(flag: Column, score: Column, status: Column, papers: Column,
     none = F.coalesce(F.size(affiliations) <= 0, F.lit(True))
     return {
         "missing_affiliation": ("medium", none, "no affiliation"),
-        "name_filter_uncertain": ("low", (flag > 0) & (score < 0.7), "name score is low"),
-        "candidate_needs_review": ("medium", status == "needs_review", "candidate needs review"),
-        "high_output_without_affiliation": ("high", (flag > 0) & (papers >= 5) & none, "five papers or more and no affiliation"),
+        "weak_name_score": ("low", (flag > 0) & (score < 0.7), "name score is low"),
+        "publication_only_needs_review": ("medium", status == "needs_review", "candidate needs review"),
+        "high_output_no_affiliation": ("high", (flag > 0) & (papers >= 5) & none, "five papers or more and no affiliation"),
     }
 
 

@@ -9,12 +9,17 @@ from ..functions.text import clean_text, is_blank, safe_double, split_pipe, text
 
 #: Weight of an issue type in the priority; others weigh 1 (fixed values).
 SEVERITY = {
-    "duplicate_candidate": 3, "high_output_without_affiliation": 3, "publication_source_error": 2, "missing_affiliation": 2,
-    "low_confidence": 2, "candidate_needs_review": 2, "name_filter_uncertain": 1, "discipline_uncertain": 1,
+    "high_output_no_affiliation": 10,
+    "missing_affiliation": 8,
+    "low_confidence": 7,
+    "name_filter_uncertain": 6,
+    "publication_only_needs_review": 5,
+    "weak_name_score": 4,
+    "llm_used": 2,
 }
 TIERS = ((8.0, "high"), (5.0, "medium"), (2.0, "low"))
-GAPS = ("gap_missing_school", "gap_missing_homepage", "gap_missing_email", "gap_low_confidence", "gap_name_conflict", "gap_discipline_uncertain", "gap_high_issue")
-CONFIDENT = 0.7
+GAPS = ("gap_missing_school", "gap_missing_homepage", "gap_missing_email", "gap_low_confidence", "gap_name_conflict", "gap_discipline_uncertain", "gap_high_output_no_affiliation")
+CONFIDENT, RELEVANT = 0.6, 0.5
 
 
 def decimal(x: float | str) -> Column:
@@ -72,10 +77,14 @@ def tier(score: Column) -> Column:
     return out
 
 
+def relevance_uncertain() -> Column:
+    return (text_or_empty("discipline_review_status") == "needs_review") & (safe_double(F.col("discipline_score").cast("string")) < RELEVANT)
+
+
 def gap_flags(open_types: Column, confidence: Column) -> dict[str, Column]:
     flags = (
         is_blank("school"), is_blank("personal_homepage"), is_blank("email"), confidence < CONFIDENT,
-        F.array_contains(open_types, "name_filter_uncertain"), text_or_empty("discipline_review_status") != "accepted", F.exists("open_severities", lambda s: s == "high"),
+        F.array_contains(open_types, "name_filter_uncertain"), relevance_uncertain(), F.array_contains(open_types, "high_output_no_affiliation"),
     )
     return {name: flag.cast("int") for name, flag in zip(GAPS, flags, strict=True)}
 
@@ -103,11 +112,11 @@ def gap_report(people: DataFrame, issues: DataFrame, seq: str = "seq") -> DataFr
     copies = people.filter(~is_blank("name")).groupBy(F.lower(F.trim("name")).alias("n"), F.lower(F.trim(text_or_empty("school"))).alias("s")).agg(F.count(F.lit(1)).alias("k"), F.min(seq).alias(seq), F.min("name").alias("name")).filter("k > 1")
     tests = [
         ("missing_school", people, [is_blank("school")]),
-        ("missing_homepage_or_email", people, [is_blank("personal_homepage"), is_blank("email")]),
+        ("missing_homepage_email", people, [is_blank("personal_homepage"), is_blank("email")]),
         ("low_confidence", people, [confidence < CONFIDENT]),
-        ("name_collisions", copies, [F.lit(True)]),
-        ("relevance_uncertain", people, [text_or_empty("discipline_review_status") != "accepted"]),
-        ("high_or_medium_issues", issues.withColumn("name", F.col("issue_type")).filter("status = 'open'"), [F.col("severity").isin("high", "medium")]),
+        ("name_conflict", copies, [F.lit(True)]),
+        ("discipline_uncertain", people, [relevance_uncertain()]),
+        ("source_errors", issues.withColumn("name", F.concat_ws(": ", "issue_type", F.substring(text_or_empty("message"), 1, 40))), [F.col("severity").isin("high", "medium")]),
     ]
     out = None
     for k, (category, rows, conditions) in enumerate(tests, 1):
@@ -117,7 +126,7 @@ def gap_report(people: DataFrame, issues: DataFrame, seq: str = "seq") -> DataFr
         examples = rows.filter(met).orderBy(seq, "name").limit(3).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(seq, F.col("name").alias("t")))), lambda x: x["t"]), "; ").alias("examples"))
         row = counted.crossJoin(examples).select(F.lit(k).alias("position"), F.lit(category).alias("category"), "count", F.coalesce("examples", F.lit("")).alias("examples"))
         out = row if out is None else out.unionByName(row)
-    stub = people.sparkSession.range(1).select(F.lit(7).alias("position"), F.lit("unresolved_merges").alias("category"), F.lit(0).cast("long").alias("count"), F.lit("").alias("examples"))
+    stub = people.sparkSession.range(1).select(F.lit(7).alias("position"), F.lit("abstract_missing").alias("category"), F.lit(0).cast("long").alias("count"), F.lit("").alias("examples"))
     return out.unionByName(stub)
 
 

@@ -225,7 +225,7 @@ def people(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 4 == 0, "").otherwise(F.col("c_mktsegment")).alias("school"), F.when(key % 3 == 0, "").otherwise("https://example.org/").alias("personal_homepage"),
         F.when(key % 5 == 0, "").otherwise("a@example.org").alias("email"), decimal((key % 10) / 10).alias("confidence_score"),
         F.when(key % 6 == 0, "accepted").when(key % 6 == 1, "rejected").when(key % 6 == 2, "new").otherwise("needs_review").alias("review_status"),
-        F.when(key % 2 == 0, "accepted").otherwise("needs_review").alias("discipline_review_status"), F.lit("").alias("review_decision"), F.lit("").alias("review_decision_note"),
+        F.when(key % 2 == 0, "accepted").otherwise("needs_review").alias("discipline_review_status"), decimal((key % 7) / 7).alias("discipline_score"), F.lit("").alias("review_decision"), F.lit("").alias("review_decision_note"),
     )
 
 
@@ -267,7 +267,7 @@ def decision_writeback(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("person_id"), F.col("o_orderkey").alias("seq"),
         F.when(F.col("o_orderstatus") == "O", " Approved ").when(F.col("o_orderstatus") == "F", "rejected").otherwise("").alias("review_decision"),
         F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("note "), F.col("o_orderkey").cast("string"))).otherwise("").alias("review_decision_note"),
-        F.when(F.col("o_orderkey") % 5 == 0, "missing_affiliation | candidate_needs_review").otherwise("").alias("resolved_issue_types"),
+        F.when(F.col("o_orderkey") % 5 == 0, "missing_affiliation | publication_only_needs_review").otherwise("").alias("resolved_issue_types"),
     )
     decided, closed = review.write_back(people(spark, sf_dir), issues(spark, sf_dir), review.read_decisions(entered))
     open_left = closed.filter("status = 'open'").groupBy(F.col("person_id").alias("__p")).agg(F.count(F.lit(1)).alias("open_issues"))
@@ -277,11 +277,11 @@ def decision_writeback(spark: SparkSession, sf_dir: str) -> DataFrame:
 def evidence_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proposals from orders for two fields of each customer."""
     o = read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
-    source = F.when(F.col("o_orderpriority") == "1-URGENT", "orcid").when(F.col("o_orderpriority") == "2-HIGH", "semantic_scholar").when(F.col("o_orderpriority") == "3-MEDIUM", "crossref").otherwise("unknown")
+    source = F.when(F.col("o_orderpriority") == "1-URGENT", "semantic_scholar").when(F.col("o_orderpriority") == "2-HIGH", "dblp").when(F.col("o_orderpriority") == "3-MEDIUM", "crossref").otherwise("unknown")
     proposals = o.select(
         F.col("o_custkey").alias("person_id"), F.when(F.col("o_orderstatus") == "O", "school").otherwise("title").alias("field"), F.concat(F.lit("v"), (F.col("o_orderkey") % 13).cast("string")).alias("new_value"), source.alias("source"),
         decimal((F.col("o_orderkey") % 9) / 10).alias("confidence"), F.when(F.col("o_custkey") % 2 == 0, "v1").otherwise("").alias("current_value"), F.lit("crossref").alias("current_source"),
-        F.when(F.col("o_custkey") % 17 == 0, "official").otherwise("publication").alias("current_primary_source"),
+        F.when(F.col("o_custkey") % 17 == 0, "official_site").otherwise("publication").alias("current_primary_source"),
     )
     m = evidence.merge(proposals)
     return m.select("person_id", "field", "value", "source", F.col("rank").cast("int").alias("rank"), F.col("confidence").cast("double").alias("confidence"), "requires_review", "n_values")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from ..functions.urls import FACULTY, NOISE, ORGANIZATION, PERSON, TARGET_FIELD
+from ..operators.pages import PROFILE_HINT
+
 _NORM = "trim(regexp_replace(replace(lower(coalesce({0}, '')), 'ß', 'ss'), '\\s+', ' ', 'g'))"
 _VENUE = "trim(regexp_replace(lower(coalesce({0}, '')), '[^a-z0-9]+', ' ', 'g'))"
 
@@ -30,7 +33,7 @@ SELECT b.name, count(*) AS last_5_year_total, count(*) FILTER (WHERE role = 'fir
        count(*) FILTER (WHERE b.lev LIKE '%TOP%') AS top_total, count(*) FILTER (WHERE b.lev LIKE 'A+%') AS a_plus_total, count(*) FILTER (WHERE b.lev = 'A') AS a_total,
        count(*) FILTER (WHERE b.lev = 'A1') AS a1_total, count(*) FILTER (WHERE b.lev = 'A2') AS a2_total, any_value(lev.js) AS level_counts_json,
        any_value(j.s) AS journals, any_value(y.s) AS years, any_value(r.s) AS author_roles, any_value(seg) AS affiliations, count(DISTINCT seq) AS n_links,
-       CASE WHEN max(score) >= 0.7 THEN 'strong_candidate' WHEN max(score) >= 0.45 THEN 'needs_review' ELSE 'rejected' END AS review_status
+       CASE WHEN max(score) >= 0.7 AND (count(*) >= 2 OR count(*) FILTER (WHERE b.lev LIKE 'A+%') > 0) THEN 'strong_candidate' WHEN max(score) >= 0.45 THEN 'needs_review' ELSE 'rejected' END AS review_status
 FROM base b JOIN lev USING (name) JOIN j USING (name) JOIN y USING (name) JOIN r USING (name) GROUP BY b.name
 """
 
@@ -188,14 +191,14 @@ SELECT event_type, count(*) FILTER (WHERE k IS NULL) AS n_unusable, CAST(sum(k)
 """
 
 _PEOPLE = """(SELECT c_custkey AS id, c_name AS name, CASE WHEN c_custkey % 4 = 0 THEN '' ELSE c_mktsegment END AS school, c_custkey % 3 = 0 AS no_home, c_custkey % 5 = 0 AS no_mail, CAST(c_custkey % 10 AS DECIMAL(9,4)) / 10 AS conf,
-    CASE c_custkey % 6 WHEN 0 THEN 'accepted' WHEN 1 THEN 'rejected' WHEN 2 THEN 'new' ELSE 'needs_review' END AS review_status, c_custkey % 2 = 0 AS relevant FROM customer)"""
+    CASE c_custkey % 6 WHEN 0 THEN 'accepted' WHEN 1 THEN 'rejected' WHEN 2 THEN 'new' ELSE 'needs_review' END AS review_status, c_custkey % 2 = 0 AS relevant, c_custkey % 2 = 1 AND CAST((c_custkey % 7) / 7.0 AS DECIMAL(9,4)) < 0.5 AS unsure FROM customer)"""
 _ORDER_RULES = "(SELECT o_custkey AS person_id, o_orderkey AS seq, o_orderstatus, o_orderkey % 4 = 0 AS bare, o_orderkey % 2 = 1 AS flag, (o_orderkey % 10) < 7 AS low, o_orderstatus = 'P' AS review, floor(o_totalprice / 50000) >= 5 AS many FROM orders)"
 _ISSUES = f"""(SELECT person_id, seq, issue_type, severity, message, CASE WHEN o_orderstatus = 'F' THEN 'resolved' ELSE 'open' END AS status FROM (
     SELECT person_id, seq, o_orderstatus, 'missing_affiliation' AS issue_type, 'medium' AS severity, 'no affiliation' AS message, 1 AS place FROM {_ORDER_RULES} WHERE bare
-    UNION ALL SELECT person_id, seq, o_orderstatus, 'name_filter_uncertain', 'low', 'name score is low', 2 FROM {_ORDER_RULES} WHERE flag AND low
-    UNION ALL SELECT person_id, seq, o_orderstatus, 'candidate_needs_review', 'medium', 'candidate needs review', 3 FROM {_ORDER_RULES} WHERE review
-    UNION ALL SELECT person_id, seq, o_orderstatus, 'high_output_without_affiliation', 'high', 'five papers or more and no affiliation', 4 FROM {_ORDER_RULES} WHERE flag AND many AND bare))"""
-_WEIGHT = "CASE issue_type WHEN 'high_output_without_affiliation' THEN 3 WHEN 'missing_affiliation' THEN 2 WHEN 'candidate_needs_review' THEN 2 ELSE 1 END"
+    UNION ALL SELECT person_id, seq, o_orderstatus, 'weak_name_score', 'low', 'name score is low', 2 FROM {_ORDER_RULES} WHERE flag AND low
+    UNION ALL SELECT person_id, seq, o_orderstatus, 'publication_only_needs_review', 'medium', 'candidate needs review', 3 FROM {_ORDER_RULES} WHERE review
+    UNION ALL SELECT person_id, seq, o_orderstatus, 'high_output_no_affiliation', 'high', 'five papers or more and no affiliation', 4 FROM {_ORDER_RULES} WHERE flag AND many AND bare))"""
+_WEIGHT = "CASE issue_type WHEN 'high_output_no_affiliation' THEN 10 WHEN 'missing_affiliation' THEN 8 WHEN 'publication_only_needs_review' THEN 5 WHEN 'weak_name_score' THEN 4 ELSE 1 END"
 
 ISSUE_RULES = f"SELECT issue_type, severity, status, count(*) AS n, min(seq) AS first_seq, max(person_id) AS last_person FROM {_ISSUES} GROUP BY 1, 2, 3"
 
@@ -213,8 +216,8 @@ REVIEW_QUEUE = f"""
 WITH x AS (SELECT p.*, coalesce(open_issue_types, '') AS types, coalesce(open_severities, '') AS sev, coalesce(open_weight, 0) AS weight FROM {_PEOPLE} p LEFT JOIN {_BUCKETS} b ON p.id = b.person_id),
 s AS (SELECT *, greatest(0, 10 * conf - CAST(0.5 AS DECIMAL(9,4)) * weight - CASE WHEN school = '' THEN 2 ELSE 0 END - CASE WHEN no_home THEN 1 ELSE 0 END - CASE WHEN no_mail THEN 1.5 ELSE 0 END - CASE WHEN relevant THEN 0 ELSE 1.5 END) AS score FROM x)
 SELECT id, CAST(round(score, 3) AS DOUBLE) AS priority, CASE WHEN score >= 8 THEN 'high' WHEN score >= 5 THEN 'medium' WHEN score >= 2 THEN 'low' ELSE 'deferred' END AS tier,
-       CAST(school = '' AS INTEGER) AS gap_missing_school, CAST(no_home AS INTEGER) AS gap_missing_homepage, CAST(no_mail AS INTEGER) AS gap_missing_email, CAST(conf < 0.7 AS INTEGER) AS gap_low_confidence,
-       CAST(contains(types, 'name_filter_uncertain') AS INTEGER) AS gap_name_conflict, CAST(NOT relevant AS INTEGER) AS gap_discipline_uncertain, CAST(contains(sev, 'high') AS INTEGER) AS gap_high_issue
+       CAST(school = '' AS INTEGER) AS gap_missing_school, CAST(no_home AS INTEGER) AS gap_missing_homepage, CAST(no_mail AS INTEGER) AS gap_missing_email, CAST(conf < 0.6 AS INTEGER) AS gap_low_confidence,
+       CAST(contains(types, 'name_filter_uncertain') AS INTEGER) AS gap_name_conflict, CAST(unsure AS INTEGER) AS gap_discipline_uncertain, CAST(contains(types, 'high_output_no_affiliation') AS INTEGER) AS gap_high_output_no_affiliation
 FROM s
 """
 
@@ -227,12 +230,12 @@ def _gap(position: int, category: str, table: str, count: str, met: str, label:
 GAP_REPORT = " UNION ALL ".join(
     [
         _gap(1, "missing_school", _PEOPLE, "count(*) FILTER (WHERE school = '')", "school = ''"),
-        _gap(2, "missing_homepage_or_email", _PEOPLE, "count(*) FILTER (WHERE no_home) + count(*) FILTER (WHERE no_mail)", "no_home OR no_mail"),
-        _gap(3, "low_confidence", _PEOPLE, "count(*) FILTER (WHERE conf < 0.7)", "conf < 0.7"),
-        "SELECT 4, 'name_collisions', (SELECT count(*) FROM (SELECT lower(name), lower(school) FROM " + _PEOPLE + " GROUP BY 1, 2 HAVING count(*) > 1)), ''",
-        _gap(5, "relevance_uncertain", _PEOPLE, "count(*) FILTER (WHERE NOT relevant)", "NOT relevant"),
-        _gap(6, "high_or_medium_issues", _ISSUES, "count(*) FILTER (WHERE status = 'open' AND severity IN ('high', 'medium'))", "status = 'open' AND severity IN ('high', 'medium')", "issue_type", "seq"),
-        "SELECT 7, 'unresolved_merges', CAST(0 AS BIGINT), ''",
+        _gap(2, "missing_homepage_email", _PEOPLE, "count(*) FILTER (WHERE no_home) + count(*) FILTER (WHERE no_mail)", "no_home OR no_mail"),
+        _gap(3, "low_confidence", _PEOPLE, "count(*) FILTER (WHERE conf < 0.6)", "conf < 0.6"),
+        "SELECT 4, 'name_conflict', (SELECT count(*) FROM (SELECT lower(name), lower(school) FROM " + _PEOPLE + " GROUP BY 1, 2 HAVING count(*) > 1)), ''",
+        _gap(5, "discipline_uncertain", _PEOPLE, "count(*) FILTER (WHERE unsure)", "unsure"),
+        _gap(6, "source_errors", _ISSUES, "count(*) FILTER (WHERE severity IN ('high', 'medium'))", "severity IN ('high', 'medium')", "issue_type || ': ' || substr(message, 1, 40)", "seq"),
+        "SELECT 7, 'abstract_missing', CAST(0 AS BIGINT), ''",
     ]
 )
 
@@ -245,7 +248,7 @@ DECISION_WRITEBACK = f"""
 WITH d AS (SELECT o_custkey AS person_id, o_orderkey AS seq, CASE o_orderstatus WHEN 'O' THEN 'accepted' WHEN 'F' THEN 'rejected' ELSE '' END AS decision, CASE WHEN o_orderkey % 2 = 0 THEN 'note ' || o_orderkey ELSE '' END AS note, o_orderkey % 5 = 0 AS resolves FROM orders),
 l AS (SELECT person_id, arg_max(decision, seq) FILTER (WHERE decision <> '') AS decision, arg_max(note, seq) FILTER (WHERE note <> '') AS note FROM d GROUP BY 1),
 r AS (SELECT DISTINCT person_id FROM d WHERE resolves),
-o AS (SELECT person_id, count(*) AS n FROM {_ISSUES} WHERE status = 'open' AND NOT (issue_type IN ('missing_affiliation', 'candidate_needs_review') AND person_id IN (SELECT person_id FROM r)) GROUP BY 1)
+o AS (SELECT person_id, count(*) AS n FROM {_ISSUES} WHERE status = 'open' AND NOT (issue_type IN ('missing_affiliation', 'publication_only_needs_review') AND person_id IN (SELECT person_id FROM r)) GROUP BY 1)
 SELECT id, coalesce(decision, review_status) AS review_status, coalesce(decision, '') AS review_decision, coalesce(note, '') AS review_decision_note, coalesce(n, 0) AS open_issues
 FROM {_PEOPLE} p LEFT JOIN l ON p.id = l.person_id LEFT JOIN o ON p.id = o.person_id
 """
@@ -253,11 +256,11 @@ FROM {_PEOPLE} p LEFT JOIN l ON p.id = l.person_id LEFT JOIN o ON p.id = o.perso
 EVIDENCE_MERGE = """
 WITH p AS (
     SELECT o_custkey AS person_id, CASE WHEN o_orderstatus = 'O' THEN 'school' ELSE 'title' END AS field, 'v' || (o_orderkey % 13) AS v,
-           CASE o_orderpriority WHEN '1-URGENT' THEN 'orcid' WHEN '2-HIGH' THEN 'semantic_scholar' WHEN '3-MEDIUM' THEN 'crossref' ELSE 'unknown' END AS source,
+           CASE o_orderpriority WHEN '1-URGENT' THEN 'semantic_scholar' WHEN '2-HIGH' THEN 'dblp' WHEN '3-MEDIUM' THEN 'crossref' ELSE 'unknown' END AS source,
            CASE o_orderpriority WHEN '1-URGENT' THEN 3 WHEN '2-HIGH' THEN 2 WHEN '3-MEDIUM' THEN 1 ELSE 0 END AS rank, (o_orderkey % 9) / 10.0 AS confidence, CASE WHEN o_custkey % 2 = 0 THEN 'v1' ELSE '' END AS cur FROM orders),
 k AS (SELECT * FROM p WHERE v <> cur AND person_id % 17 <> 0 AND (cur = '' OR rank >= 1)),
 w AS (SELECT *, row_number() OVER (PARTITION BY person_id, field ORDER BY rank DESC, confidence DESC, v DESC, source DESC) AS n, count(DISTINCT v) OVER (PARTITION BY person_id, field) AS n_values FROM k)
-SELECT person_id, field, v AS value, source, rank, CAST(confidence AS DOUBLE) AS confidence, confidence < 0.7 OR rank < 3 AS requires_review, n_values FROM w WHERE n = 1
+SELECT person_id, field, v AS value, source, rank, CAST(confidence AS DOUBLE) AS confidence, confidence < 0.7 AS requires_review, n_values FROM w WHERE n = 1
 """
 
 RUN_STATUS = """
@@ -289,14 +292,13 @@ e AS (SELECT doc_id, lower(regexp_extract(v, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\
 SELECT doc_id, sha1(email) AS email_sha1 FROM e WHERE email <> ''
 """
 
-PAGE_CLASS = """
-SELECT page_id, CASE WHEN contains(html, 'fd-content-json') OR len(regexp_extract_all(html, '(?i)href\\s*=\\s*["''][^"'']*(/people/|/profile|/faculty/)[^"''/]+')) >= 8 THEN 'faculty_list'
-       WHEN regexp_matches(url, '(?i)(/people/|/profile|/faculty/|~)[^/]+') THEN 'profile' WHEN regexp_matches(lower(url), '(faculty|people|directory|staff)/?$') THEN 'faculty_list'
-       WHEN regexp_matches(lower(substr(html, 1, 5000)), 'department|school of|college of') THEN 'organisation' ELSE 'unknown' END AS page_type,
-       CASE WHEN contains(html, 'fd-content-json') THEN 0.86 WHEN len(regexp_extract_all(html, '(?i)href\\s*=\\s*["''][^"'']*(/people/|/profile|/faculty/)[^"''/]+')) >= 8 THEN 0.82
-       WHEN regexp_matches(url, '(?i)(/people/|/profile|/faculty/|~)[^/]+') THEN 0.82 WHEN regexp_matches(lower(url), '(faculty|people|directory|staff)/?$') THEN 0.65
-       WHEN regexp_matches(lower(substr(html, 1, 5000)), 'department|school of|college of') THEN 0.55 ELSE 0.25 END::DOUBLE AS score
-FROM pages
+PAGE_CLASS = f"""
+WITH t AS (
+    SELECT page_id, html, len(regexp_extract_all(html, '(?i)href\\s*=\\s*["'']?[^"''\\s>]*(?:/faculty/|/people/|/profiles/)[^/"''\\s>]+')) AS n,
+           lower(url || ' ' || substr(trim(regexp_replace(regexp_replace(regexp_replace(html, '<(?:script|style|noscript)\\b[^>]*>.*?</(?:script|style|noscript)\\s*>', ' ', 'gis'), '<[^>]+>', ' ', 'gs'), '\\s+', ' ', 'g')), 1, 5000)) AS seen FROM pages),
+k AS (SELECT page_id, CASE WHEN contains(html, 'fd-content-json') THEN 1 WHEN n >= 8 THEN 2 WHEN regexp_matches(seen, '{PROFILE_HINT}') AND regexp_matches(seen, '@|biography|research|education') THEN 3
+      WHEN regexp_matches(seen, '{FACULTY}') THEN 4 WHEN regexp_matches(seen, '{ORGANIZATION}') THEN 5 ELSE 6 END AS k FROM t)
+SELECT page_id, ['faculty_list', 'faculty_list', 'faculty_profile', 'faculty_list', 'organization', 'unknown'][k] AS page_type, CAST([0.86, 0.82, 0.82, 0.65, 0.55, 0.25][k] AS DOUBLE) AS score FROM k
 """
 
 _HREFS = """(SELECT DISTINCT page_id, unnest(regexp_extract_all(html, '(?is)<a\\s[^>]*?href\\s*=\\s*["'']?([^"''\\s>]*)["'']?[^>]*>(.*?)</a>', 1)) AS href FROM pages)"""
@@ -314,11 +316,11 @@ WITH l AS (
            unnest(range(len(regexp_extract_all(html, '{{A}}', 1)))) AS pos, regexp_extract_all(html, '{{A}}', 1) AS hrefs, regexp_extract_all(html, '{{A}}', 2) AS texts FROM pages),
 a AS (SELECT page_id, base, site, pos, hrefs[pos + 1] AS href, trim(regexp_replace(regexp_replace(texts[pos + 1], '<[^>]+>', ' ', 'gs'), '\\s+', ' ', 'g')) AS anchor FROM l),
 u AS (SELECT page_id, pos, anchor, 'https://' || lower(regexp_extract(site, '^https?://(.*)$', 1)) || regexp_replace(regexp_extract(href, '^([^?#]*)', 1), '/+$', '/') AS url FROM a),
-f AS (SELECT page_id, url, min(pos) AS pos, arg_min(anchor, pos) AS anchor FROM u WHERE NOT regexp_matches(url, '(?i)\\.(css|js|png|jpe?g|gif|svg|ico|pdf|docx?|xlsx?|pptx?|zip|mp4|mp3|xml)$') GROUP BY 1, 2),
-k AS (SELECT *, lower(url || ' ' || anchor) AS seen, lower(regexp_extract(url, '^https://[^/]*(.*)$', 1)) AS target FROM f),
-c AS (SELECT *, CASE WHEN regexp_matches(seen, '(login|privacy|contact|news|event|calendar|donate|job|apply|course)') THEN 'noise' WHEN regexp_matches(target, '(faculty|people|directory|staff|team)/?(index\\.html?)?$') THEN 'faculty_list'
-      WHEN regexp_matches(seen, '(profile|/people/.+|/faculty/.+|~[a-z])') THEN 'profile' WHEN regexp_matches(seen, '(department|school|college|institute|centre|center)') THEN 'organisation' ELSE 'unknown' END AS kind FROM k),
-s AS (SELECT *, CASE kind WHEN 'noise' THEN 0.05 WHEN 'faculty_list' THEN 0.75 WHEN 'profile' THEN 0.7 WHEN 'organisation' THEN 0.5 ELSE 0.2 END + CASE WHEN regexp_matches(anchor, '(?i)\\b(professor|lecturer|faculty)\\b') AND kind <> 'noise' THEN 0.1 ELSE 0 END AS score FROM c),
-r AS (SELECT page_id, pos, url, anchor, kind, CAST(least(0.95, score) AS DOUBLE) AS score, CAST(row_number() OVER (PARTITION BY page_id ORDER BY least(0.95, score) DESC, pos) AS INTEGER) AS rank FROM s WHERE kind <> 'noise')
+f AS (SELECT page_id, url, min(pos) AS pos, arg_min(anchor, pos) AS anchor FROM u WHERE NOT regexp_matches(url, '(?i)\\.(?:pdf|docx?|xlsx?|pptx?|zip|jpg|jpeg|png|gif|svg)$') GROUP BY 1, 2),
+k AS (SELECT *, lower(url || ' ' || anchor) AS seen FROM f),
+c AS (SELECT *, CASE WHEN regexp_matches(seen, '{NOISE}') THEN 'noise' WHEN regexp_matches(seen, '{FACULTY}') THEN CASE WHEN regexp_matches(seen, '{PERSON}') THEN 'faculty_candidate' ELSE 'faculty_list' END
+      WHEN regexp_matches(seen, '{ORGANIZATION}') THEN 'organization' ELSE 'unknown' END AS kind, regexp_matches(seen, '{TARGET_FIELD}') AS hit FROM k),
+s AS (SELECT *, CASE kind WHEN 'noise' THEN 0.1 WHEN 'faculty_candidate' THEN CASE WHEN hit THEN 0.86 ELSE 0.78 END WHEN 'faculty_list' THEN CASE WHEN hit THEN 0.76 ELSE 0.68 END WHEN 'organization' THEN CASE WHEN hit THEN 0.67 ELSE 0.55 END ELSE 0.25 END AS score FROM c),
+r AS (SELECT page_id, pos, url, anchor, kind, CAST(score AS DOUBLE) AS score, CAST(row_number() OVER (PARTITION BY page_id ORDER BY score DESC, pos) AS INTEGER) AS rank FROM s WHERE kind <> 'noise')
 SELECT * FROM r WHERE rank <= 5
 """.replace("{A}", "(?is)<a\\s[^>]*?href\\s*=\\s*[\"'']?([^\"''\\s>]*)[\"'']?[^>]*>(.*?)</a>")

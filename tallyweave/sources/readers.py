@@ -15,8 +15,8 @@ from ..schemas import schema
 
 #: Headers of the journal list (fixed values of the file format).
 JOURNAL_HEADERS = {
-    "来源文件": "source_file", "期刊体系": "journal_system", "学科": "discipline", "期刊名称": "journal_name",
-    "ISSN/CN": "issn_cn", "成果等级": "achievement_level", "人才库用途": "talent_pool_use", "备注": "notes",
+    "来源文件": "source_file", "期刊体系": "journal_system", "学科/方向": "discipline", "期刊名称": "journal_name",
+    "ISSN/CN": "issn_cn", "学校级别": "achievement_level", "人才库用途": "talent_pool_use", "备注": "notes",
 }
 
 

@@ -20,7 +20,7 @@ EXPORTS: dict[str, tuple[str, ...]] = {
     "pages": ("url", "source_url", "school", "department", "page_type", "status_code", "content_hash", "parser_status", "llm_status", "error"),
     "issues": ("person_id", "related_table", "related_id", "issue_type", "severity", "message", "source_url", "status"),
     "people_review": ("id", "name", "school", "email", "personal_homepage", "confidence_score", "review_status", "open_issue_types", "open_severities", "open_messages", "review_decision", "review_decision_note", "resolved_issue_types"),
-    "review_queue": ("id", "name", "school", "email", "personal_homepage", "confidence_score", "tier", "priority_shown", "open_issue_types", "open_messages", "gap_missing_school", "gap_missing_homepage", "gap_missing_email", "gap_low_confidence", "gap_name_conflict", "gap_discipline_uncertain", "gap_high_issue"),
+    "review_queue": ("id", "name", "school", "email", "personal_homepage", "confidence_score", "tier", "priority_shown", "open_issue_types", "open_messages", "gap_missing_school", "gap_missing_homepage", "gap_missing_email", "gap_low_confidence", "gap_name_conflict", "gap_discipline_uncertain", "gap_high_output_no_affiliation"),
     "gap_report": ("position", "category", "count", "examples"),
     "school_seeds": ("rank", "school_name_en", "school_name_zh", "homepage_url", "difficulty_level", "crawl_status", "notes"),
     "school_entrypoints": ("school", "unit", "entry_url", "entry_type", "url_pattern", "pagination_pattern", "person_link_selector", "api_endpoint", "roles_included", "notes", "status"),

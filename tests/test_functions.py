@@ -59,7 +59,7 @@ def test_links(spark):
     assert value(spark, U.absolute_url(F.lit("p/1"), F.lit("https://a.b/x/y"))) == "https://a.b/x/p/1"
     assert value(spark, U.same_site(F.lit("a.ex.edu"), F.lit("b.ex.edu"))) is True
     assert value(spark, U.classify_link(F.lit("https://a.b/login"), F.lit("Log in")))["kind"] == "noise"
-    assert value(spark, U.classify_link(F.lit("https://a.b/people/jane"), F.lit("Professor Jane")))["kind"] == "profile"
+    assert value(spark, U.classify_link(F.lit("https://a.b/people/jane"), F.lit("Professor Jane")))["kind"] == "faculty_candidate"
 
 
 LEX = Lexicon({"a": ["supply chain", "logistics"], "b": ["analytics"]}, {"a": 0.4}, strong=["logistics"], hard_negatives=["poetry"])

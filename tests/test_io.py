@@ -5,7 +5,7 @@ from tallyweave.streaming.upserts import stream_upserts
 
 
 def test_journals_and_seeds(spark, tmp_path):
-    (tmp_path / "j.csv").write_text("﻿期刊名称,成果等级\n Omega ,A+\n,A\n", encoding="utf-8")
+    (tmp_path / "j.csv").write_text("﻿期刊名称,学校级别\n Omega ,A+\n,A\n", encoding="utf-8")
     assert [(r.journal_name, r.achievement_level, r.issn_cn) for r in readers.journals(spark, str(tmp_path / "j.csv")).collect()] == [("Omega", "A+", "")]
     (tmp_path / "s.csv").write_text("rank,school_name_en\n1,A\nx,B\n3,\n")
     assert [(r["rank"], r.school_name_en) for r in readers.school_seeds(spark, str(tmp_path / "s.csv"), limit=2).collect()] == [(1, "A"), (None, "B")]

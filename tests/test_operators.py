@@ -132,8 +132,8 @@ def test_attribution_prefers_order(spark):
 def test_evidence_rules(spark):
     rows = spark.createDataFrame(
         [
-            (1, "school", "New", "orcid", 0.9, "Old", "crossref", ""), (1, "school", "Weak", "crossref", 0.99, "Old", "crossref", ""), (1, "school", "Same", "orcid", 0.9, "Same", "crossref", ""),
-            (2, "school", "X", "orcid", 0.9, "", "", "official"), (3, "title", "T", "crossref", 0.5, "", "", ""), (4, "title", "Weaker", "crossref", 0.9, "Strong", "orcid", ""),
+            (1, "school", "New", "semantic_scholar", 0.9, "Old", "crossref", ""), (1, "school", "Weak", "crossref", 0.99, "Old", "crossref", ""), (1, "school", "Same", "semantic_scholar", 0.9, "Same", "crossref", ""),
+            (2, "school", "X", "semantic_scholar", 0.9, "", "", "official_site"), (3, "title", "T", "crossref", 0.5, "", "", ""), (4, "title", "Weaker", "crossref", 0.9, "Strong", "semantic_scholar", ""),
         ],
         "person_id long, field string, new_value string, source string, confidence double, current_value string, current_source string, current_primary_source string",
     )
@@ -143,7 +143,7 @@ def test_evidence_rules(spark):
     assert got[3, "title"].requires_review
     people = spark.createDataFrame([(1, "Old", "", "accepted"), (3, "", "", "new")], "id long, school string, title string, review_status string").withColumn("confidence_score", F.lit("0.1").cast("decimal(9,4)"))
     out = {r.id: r for r in evidence.apply_updates(people, evidence.merge(rows), ["school", "title"]).collect()}
-    assert (out[1].school, out[1].school_source, out[1].review_status, out[3].title, out[3].review_status) == ("New", "orcid", "accepted", "T", "needs_review")
+    assert (out[1].school, out[1].school_source, out[1].review_status, out[3].title, out[3].review_status) == ("New", "semantic_scholar", "accepted", "T", "needs_review")
 
 
 def test_tiers_and_roster(spark):
