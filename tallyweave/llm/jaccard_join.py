@@ -153,7 +153,7 @@ def find_links(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS
     known = durable(sketches(docs, words))
     texts = durable(known.groupBy("text_hash").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies")))
     chosen = known.join(texts.withColumnRenamed("id", "doc_id"), ["text_hash", "doc_id"]).dropDuplicates(["text_hash", "doc_id"])
-    chosen = chosen.withColumnRenamed("doc_id", "id").filter(F.octet_length("text_hash") > 0)
+    chosen = chosen.withColumnRenamed("doc_id", "id")
     entries = chosen.select("id", F.posexplode("keys").alias("band", "key"))
     buckets = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("band").alias("band"), F.min("id").alias("first"), F.bit_xor(F.xxhash64("id")).alias("mark"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("mark2")).filter("n > 1")
     buckets = buckets.groupBy("n", "first", "mark", "mark2").agg(F.min(F.struct("band", "key")).alias("b")).select("b.key", "b.band", "n")
