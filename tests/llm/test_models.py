@@ -118,3 +118,24 @@ def test_scores_without_training_rows(spark):
     out = C.score_texts(docs).collect()
     assert len(out) == docs.count() and all(r.train_tokens == 0 and r.n_known == 0 and r.score < 0 for r in out)
     assert C.score_texts(docs.limit(0)).count() == 0
+
+
+def test_counts_do_not_depend_on_tasks(spark):
+    code = C.huffman([b"a", C.END, b"b"], [3000, 60, 6], 1)
+    rows = [(" ".join(["a"] * 100 if i % 10 else ["a"] * 50 + ["b"] + ["a"] * 49),) for i in range(60)]
+    docs = spark.createDataFrame(rows, "text string")
+    shared = spark.sparkContext.broadcast(code)
+    one, many = (C.count_bits(docs.repartition(n), code, shared, 1) for n in (1, 3))
+    bits = C.Coder(code).encode([C.tokens(t) for (t,) in rows])
+    want = []
+    for place, size in zip(bits.places[1:], C.SLOT_BITS, strict=True):
+        pairs = np.bincount(2 * place + bits.bit, minlength=2 << size)
+        assert pairs.max() > 0xFF
+        want.append(C.packed(pairs[0::2], pairs[1::2]))
+    same = lambda tables: all((own == slots).all() for own, slots in zip(tables.slots[1:], want, strict=True))
+    assert same(one) and same(many)
+    old, C.MOST_BITS = C.MOST_BITS, 6000
+    try:
+        assert same(C.count_bits(docs.repartition(1), code, shared, 1))
+    finally:
+        C.MOST_BITS = old
