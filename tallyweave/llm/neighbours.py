@@ -78,23 +78,29 @@ def stacked(column: pd.Series) -> np.ndarray:
 
 
 def best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int, floor: np.ndarray | None = None) -> pd.DataFrame:
-    """The k best rows of each query, scored one way whatever rows stand beside them."""
+    """The k best vec_ids of each query, each once, scored one way whatever rows stand beside them; ties go to the smaller vec_id."""
     rough = queries @ rows.T
-    take = min(len(ids), 2 * k + 2)
-    top = np.argpartition(-rough, take - 1, axis=1)[:, :take]
-    scores = (queries[:, None, :] * rows[top]).sum(axis=2)
+    by_id = np.argsort(ids, kind="stable")
+    starts = np.flatnonzero(np.append(True, np.diff(ids[by_id]) != 0))
+    of_ids = np.maximum.reduceat(rough[:, by_id], starts, axis=1) if len(starts) < len(ids) else rough
+    least = -np.partition(-of_ids, min(len(starts), k) - 1, axis=1)[:, min(len(starts), k) - 1]
+    least -= 1e-9 * np.sqrt((queries * queries).sum(axis=1) * (rows * rows).sum(axis=1).max())
     out = []
     for i, q in enumerate(query_ids):
-        order = np.lexsort((ids[top[i]], -scores[i]))[:k]
-        out += [(q, ids[top[i][j]], scores[i][j]) for j in order if floor is None or scores[i][j] >= floor[i]]
+        top = np.flatnonzero(rough[i] >= least[i])
+        scores = (queries[i] * rows[top]).sum(axis=1)
+        order = np.lexsort((ids[top], -scores))
+        if len(starts) < len(ids):
+            order = order[np.sort(np.unique(ids[top[order]], return_index=True)[1])]
+        out += [(q, ids[top[j]], scores[j]) for j in order[:k] if floor is None or scores[j] >= floor[i]]
     return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """Rows whose vector has only finite components, not all 0, and the commonest length."""
+    """Rows whose vector has only finite components, not all 0, and the commonest length; equal rows once."""
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
     v = vectors.select("vec_id", F.col("embedding").cast("array<float>").alias("embedding"))
-    v = v.filter(F.col("vec_id").isNotNull() & F.forall("embedding", finite) & F.exists("embedding", lambda x: x != 0))
+    v = v.filter(F.col("vec_id").isNotNull() & F.forall("embedding", finite) & F.exists("embedding", lambda x: x != 0)).distinct()
     length = v.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).limit(1).collect()
     return v.filter(F.size("embedding") == (length[0]["n"] if length else 0))
 
@@ -224,7 +230,8 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, curves: int = CURV
 
     vectors(vec_id, embedding); queries are the rows whose vec_id is divisible
     by `every`, candidates all rows but those with the query's vec_id. Ties go
-    to the smaller vec_id; fewer candidates than k give fewer rows. Rows with a
+    to the smaller vec_id; fewer candidates than k give fewer rows. Rows that
+    repeat a vec_id and its vector count once. Rows with a
     null id, vectors that are null, all zero, hold a null or non-finite
     component or have not the commonest length take no part. An empty table
     gives no rows. complete=False leaves it at the curves' windows.

@@ -64,3 +64,21 @@ def test_hilbert_curve_steps_to_neighbours():
     assert sorted(keys.tolist()) == list(range(64))
     path = cells[np.argsort(keys)]
     assert (np.abs(np.diff(path, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_repeated_rows_count_once(spark):
+    rng = np.random.default_rng(12)
+    rows = [(i, rng.normal(size=6).astype(np.float32).tolist()) for i in range(120)]
+    rows += [(200 + i, rows[7][1]) for i in range(8)]
+    repeated = rows * 2 + [rows[7]] * 30
+    df = spark.createDataFrame([(i, v, "") for i, v in repeated], SCHEMA).repartition(3)
+    assert found(N.nearest(df, every=10, k=5)) == brute(rows, 10, 5)
+
+
+def test_exact_ties_go_to_the_smaller_ids():
+    ids = np.arange(400)[::-1].copy()
+    rows = np.stack([np.ones(400), np.random.default_rng(3).integers(1, 9, size=400)], axis=1).astype(float)
+    got = N.best(np.array([7]), np.array([[1.0, 0.0]]), ids, rows, 5)
+    assert got["vec_id"].tolist() == [0, 1, 2, 3, 4]
+    twice = N.best(np.array([7]), np.array([[1.0, 0.0]]), np.repeat(ids, 60), np.repeat(rows, 60, axis=0), 5)
+    assert twice["vec_id"].tolist() == [0, 1, 2, 3, 4]
