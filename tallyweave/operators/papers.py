@@ -191,7 +191,8 @@ def attribute(messages: DataFrame, names: DataFrame, message: str, name: str, or
     """messages with the label of the first name (by `order`) that each normalised message contains.
 
     The names are a dimension of a bounded size (its bytes are checked before
-    it is broadcast); a larger one is matched on its first word's occurrences.
+    it is broadcast); a larger one is joined on a piece of each name, wherever
+    in the message it stands. Both give the same rows.
     """
     dim = names.select(F.col(label or name).alias("__name"), F.col(order).alias("__order"), normalize_publication_name(name).alias("__key")).filter("__key != ''")
     keyed = messages.withColumn("__id", F.monotonically_increasing_id()).withColumn("__text", normalize_publication_name(message))
@@ -199,13 +200,32 @@ def attribute(messages: DataFrame, names: DataFrame, message: str, name: str, or
     if size <= DIMENSION_BYTES:
         pairs = keyed.select("__id", "__text").join(F.broadcast(dim), F.contains("__text", "__key"))
     else:
-        words = keyed.select("__id", "__text", F.explode(F.array_distinct(F.split("__text", " "))).alias("__word"))
-        pairs = words.join(dim.withColumn("__word", F.substring_index("__key", " ", 1)), "__word").filter(F.contains("__text", "__key"))
+        coded = dim.join(rarest_grams(dim), "__key")
+        lengths = sorted(r[0] for r in coded.select(F.length("__gram")).distinct().collect())
+        grams = F.array_distinct(F.concat(*(grams_of("__text", n) for n in lengths)))
+        met = keyed.select("__id", F.explode(grams).alias("__gram")).join(coded, "__gram").drop("__gram")
+        pairs = keyed.select("__id", "__text").join(met, "__id").filter(F.contains("__text", "__key"))
     best = pairs.groupBy("__id").agg(F.min_by("__name", F.struct("__order", "__name")).alias("attributed"))
     return keyed.join(best, "__id", "left").drop("__id", "__text")
 
 
 DIMENSION_BYTES = 8 << 20
+#: Characters of the piece that a long name is joined on; shorter names are their own piece.
+GRAM = 8
+
+
+def grams_of(text: str, n: int) -> Column:
+    """All pieces of n characters; none of a shorter text."""
+    starts = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - n + 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.substring(F.col(text), i, F.lit(n)))
+
+
+def rarest_grams(names: DataFrame) -> DataFrame:
+    """__key and __gram: of each distinct key the piece that the fewest keys have."""
+    own = F.when(F.length("__key") < GRAM, F.array("__key")).otherwise(F.array_distinct(grams_of("__key", GRAM)))
+    grams = names.select("__key").distinct().select("__key", F.explode(own).alias("__gram"))
+    times = grams.groupBy("__gram").agg(F.count(F.lit(1)).alias("__times"))
+    return grams.join(times, "__gram").groupBy("__key").agg(F.min_by("__gram", F.struct("__times", "__gram")).alias("__gram"))
 
 
 def collect_papers(works: DataFrame, journals: DataFrame, from_year: int, current_year: int, sources: Sequence[str] = ("openalex", "crossref"), broad_lexicon: Lexicon | None = None) -> tuple[DataFrame, DataFrame]:

@@ -129,6 +129,19 @@ def test_attribution_prefers_order(spark):
         assert got == {"no rows: MANAGEMENT  science!": "Management Science", "science failed": "Science", "none": None}
 
 
+def test_attribution_inside_words(spark):
+    names = spark.createDataFrame([("Science", 3), ("Art History", 1), ("journal", 4), ("io", 5), ("Mart", 2), ("%", 0)], "journal_name string, o int")
+    want = {"bioscience journal": "Science", "smart history today": "Art History", "the smarter set": "Mart", "a radio": "io", "x": None, None: None}
+    rows = spark.createDataFrame([(m,) for m in want], "message string")
+    for size in (papers.DIMENSION_BYTES, 0):
+        old, papers.DIMENSION_BYTES = papers.DIMENSION_BYTES, size
+        try:
+            got = {r.message: r.attributed for r in papers.attribute(rows, names, "message", "journal_name", "o").collect()}
+        finally:
+            papers.DIMENSION_BYTES = old
+        assert got == want
+
+
 def test_evidence_rules(spark):
     rows = spark.createDataFrame(
         [
