@@ -24,9 +24,8 @@ from .common import fold
 POSITIVES, UNLABELLED = 3000, 6000
 FOLDS = 5
 PREFIXES = (4, 5, 6)
-#: A feature is kept if so many confirmed texts, and this share of them, have it, so many standard errors more often than unlabelled ones.
-LEAST_TEXTS, LEAST_SHARE, LEAST_Z = 4, 0.02, 6.0
-MOST_FEATURES = 20_000
+#: A feature is kept if so many confirmed texts have it, so many standard errors more often than unlabelled ones.
+LEAST_TEXTS, LEAST_Z = 4, 6.0
 EPOCHS, BATCHES, RATE, DECAY = 120, 2, 0.05, 5e-6
 #: Tokens whose features are remembered at a time by one Python worker.
 REMEMBERED = 400_000
@@ -77,24 +76,19 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
     """
     if not positive or not unlabelled or not 0 < prior < 1:
         return Model(-30.0 if prior <= 0 else 0.0, {}, prior)
-    seen, times = np.unique(np.concatenate(positive), return_counts=True)
-    common = seen[times >= min(len(positive), max(LEAST_TEXTS, LEAST_SHARE * len(positive)))]
-    positive, unlabelled = ([x[np.isin(x, common, assume_unique=True)] for x in own] for own in (positive, unlabelled))
-    ids, back = np.unique(np.concatenate(positive + unlabelled), return_inverse=True)
-    lengths = np.array([len(x) for x in positive + unlabelled])
-    rows = np.repeat(np.arange(len(lengths)), lengths)
-    is_p = np.arange(len(lengths)) < len(positive)
     n_p, n_u = len(positive), len(unlabelled)
-    in_p = np.bincount(back[is_p[rows]], minlength=len(ids))
-    in_u = np.bincount(back[~is_p[rows]], minlength=len(ids))
+    seen, in_p = np.unique(np.concatenate(positive), return_counts=True)
+    often = in_p >= min(n_p, LEAST_TEXTS)
+    seen, in_p, in_u = seen[often], in_p[often], np.zeros(int(often.sum()), dtype=np.int64)
+    for x in unlabelled:
+        in_u[np.isin(seen, x, assume_unique=True)] += 1
     both = (in_p + in_u) / (n_p + n_u)
     z = (in_p / n_p - in_u / n_u) / np.sqrt(np.maximum(both * (1 - both), 1e-12) * (1 / n_p + 1 / n_u))
-    kept = np.flatnonzero(z >= LEAST_Z)
-    kept = kept[np.argsort(-z[kept], kind="stable")[:MOST_FEATURES]]
-    place = np.full(len(ids), -1)
-    place[kept] = np.arange(len(kept))
-    cols = place[back]
-    rows, cols = rows[cols >= 0], cols[cols >= 0]
+    kept = seen[z >= LEAST_Z]
+    chosen = [x[np.isin(x, kept, assume_unique=True)] for x in positive + unlabelled]
+    lengths = np.array([len(x) for x in chosen])
+    rows, cols = np.repeat(np.arange(n_p + n_u), lengths), np.searchsorted(kept, np.concatenate(chosen))
+    is_p = np.arange(n_p + n_u) < n_p
     starts = np.searchsorted(rows, np.arange(len(lengths) + 1))
     w, b = np.zeros(len(kept)), 0.0
     m, v, t = np.zeros(len(kept) + 1), np.zeros(len(kept) + 1), 0
@@ -119,7 +113,7 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
             m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
             step = RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
             w, b = np.maximum(w - step[:-1], 0), b - step[-1]
-    return Model(float(b), dict(zip(ids[kept].tolist(), w.tolist(), strict=True)), prior)
+    return Model(float(b), dict(zip(kept.tolist(), w.tolist(), strict=True)), prior)
 
 
 def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:

@@ -34,6 +34,18 @@ def test_toxicity_end_to_end(spark):
     assert len({s for i, s in got if i in (9000, 9001)}) == 1
 
 
+def test_toxicity_keeps_rare_signs():
+    rng = np.random.default_rng(6)
+    clean = lambda: rng.choice(2000, size=30, replace=False)
+    sign = lambda i: np.append(clean(), 5000 + i % 60).astype(np.uint32)
+    positive = [sign(i) for i in range(2400)]
+    unlabelled = [sign(i // 10) if i % 10 == 0 else clean().astype(np.uint32) for i in range(4800)]
+    model = X.fit_nnpu([np.sort(x) for x in positive], [np.sort(x) for x in unlabelled], 0.1)
+    score = lambda x: model.bias + sum(model.weights.get(int(f), 0.0) for f in x)
+    assert np.mean([score(sign(i)) > 0 for i in range(300)]) > 0.95
+    assert np.mean([score(clean()) > 0 for _ in range(300)]) < 0.02
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
     model = X.train(docs, spark.createDataFrame([], "doc_id long, toxic int"))
