@@ -16,11 +16,35 @@ EXPORTS: dict[str, tuple[str, ...]] = {
         "level_counts_json", "paper_links", "paper_titles", "journals", "years", "author_roles", "name_rule_score", "name_rule_reason", "review_status",
     ),
     "quality_report": ("journal_name", "papers", "openalex_papers", "crossref_papers", "merged_papers", "candidates", "scored_candidates", "missing_author", "missing_affiliation", "errors"),
-    "people": ("id", "name", "school", "department", "title", "email", "personal_homepage", "primary_source_url", "primary_source_type", "confidence_score", "review_status"),
-    "pages": ("url", "source_url", "school", "department", "page_type", "status_code", "content_hash", "parser_status", "llm_status", "error"),
-    "issues": ("person_id", "related_table", "related_id", "issue_type", "severity", "message", "source_url", "status"),
-    "people_review": ("id", "name", "school", "email", "personal_homepage", "confidence_score", "review_status", "open_issue_types", "open_severities", "open_messages", "review_decision", "review_decision_note", "resolved_issue_types"),
-    "review_queue": ("id", "name", "school", "email", "personal_homepage", "confidence_score", "tier", "priority_shown", "open_issue_types", "open_messages", "gap_missing_school", "gap_missing_homepage", "gap_missing_email", "gap_low_confidence", "gap_name_conflict", "gap_discipline_uncertain", "gap_high_output_no_affiliation"),
+    "people": (
+        "id", "name", "age", "career_stage", "email", "school", "department", "field",
+        "research_direction", "title", "source_url", "primary_source_type", "personal_homepage", "research_interests", "biography", "publications_json",
+        "publication_stats_json", "paper_links_json", "photo_url", "photo_path", "education", "advisor", "confidence_score", "review_status",
+        "is_likely_chinese_name", "chinese_name_score", "name_filter_reason", "discipline_score", "discipline_is_relevant", "discipline_review_status", "discipline_matched_disciplines_json", "discipline_matched_keywords_json",
+        "discipline_negative_keywords_json", "discipline_reason", "created_at", "updated_at", "primary_source_url",
+    ),
+    "pages": (
+        "id", "school", "department", "page_type", "status_code", "fetch_error", "parser_status", "llm_status",
+        "raw_html_path", "url", "source_url", "fetched_at", "updated_at", "content_hash", "error",
+    ),
+    "issues": (
+        "id", "person_id", "related_table", "related_id", "issue_type", "severity", "message", "source_url",
+        "status", "created_at", "resolved_at",
+    ),
+    "people_review": (
+        "person_id", "name", "school", "department", "title", "email", "personal_homepage", "review_status",
+        "is_likely_chinese_name", "chinese_name_score", "name_filter_reason", "discipline_score", "discipline_is_relevant", "discipline_review_status", "discipline_reason", "publication_stats_json",
+        "paper_links_json", "source_url", "primary_source_type", "confidence_score", "open_issue_types", "open_issue_messages", "open_issue_source_urls", "review_decision",
+        "review_decision_note", "resolved_issue_types", "created_at", "updated_at", "id", "open_severities", "open_messages",
+    ),
+    "review_queue": (
+        "priority_score", "priority_tier", "person_id", "name", "school", "department", "title", "email",
+        "personal_homepage", "primary_source_type", "confidence_score", "review_status", "discipline_score", "discipline_is_relevant", "discipline_review_status", "pub_last_5_year_total",
+        "pub_a_plus_total", "pub_a_total", "pub_a1_total", "pub_a2_total", "pub_top_total", "pub_first_author_total", "pub_corresponding_author_total", "pub_journals",
+        "pub_years", "source_url", "paper_links", "open_issue_types", "open_issue_messages", "open_issue_source_urls", "gap_missing_school", "gap_missing_homepage",
+        "gap_missing_email", "gap_low_confidence", "gap_name_conflict", "gap_discipline_uncertain", "gap_high_output_no_affiliation", "review_decision", "review_decision_note", "resolved_issue_types",
+        "created_at", "updated_at", "id", "tier", "priority_shown", "open_messages",
+    ),
     "gap_report": ("position", "category", "count", "examples"),
     "school_seeds": ("rank", "school_name_en", "school_name_zh", "homepage_url", "difficulty_level", "crawl_status", "notes"),
     "school_entrypoints": ("school", "unit", "entry_url", "entry_type", "url_pattern", "pagination_pattern", "person_link_selector", "api_endpoint", "roles_included", "notes", "status"),

@@ -45,3 +45,12 @@ def test_stream_of_upserts(spark, tmp_path):
         query = stream_upserts(spark.readStream.schema(schema).parquet(str(feed)), "sources", str(tmp_path / "out"), str(tmp_path / "cp"), paths.append)
         query.awaitTermination(120)
     assert {(r.name, r.base_url) for r in spark.read.parquet(paths[-1]).collect()} == {("x", "u3"), ("y", "u2")}
+
+
+def test_exports_keep_the_surveyed_columns(spark, tmp_path):
+    people = spark.createDataFrame([(1, "A", "graphs", "2024")], "id long, name string, research_direction string, updated_at string")
+    writers.export(people, "people", str(tmp_path / "people"))
+    row = spark.read.option("header", True).csv(str(tmp_path / "people")).first()
+    assert (row.research_direction, row.updated_at) == ("graphs", "2024")
+    assert {"created_at", "resolved_at"} <= set(writers.EXPORTS["issues"]) and {"raw_html_path", "fetched_at"} <= set(writers.EXPORTS["pages"])
+    assert {"discipline_reason", "open_issue_source_urls"} <= set(writers.EXPORTS["people_review"]) and {"pub_journals", "resolved_issue_types"} <= set(writers.EXPORTS["review_queue"])
