@@ -1,13 +1,10 @@
 from __future__ import annotations
 
-import math
 import random
 import zlib
-from collections import Counter
 
 import numpy as np
 
-from tallyweave.llm import context_mixing as C
 from tallyweave.llm import language_id as L
 from tallyweave.llm import toxicity as X
 
@@ -85,69 +82,3 @@ def test_language_end_to_end(spark):
     assert got[903].lang == "zz" and 0.5 < got[903].score < 1 and got[None].lang == "xx" and got[904].lang == "xx"
     empty = L.train(docs.limit(0))
     assert docs.select(L.language(docs, empty).alias("f")).first().f.lang == "und"
-
-
-def test_code_lengths_are_a_distribution():
-    """Over all next words, known or spelled out to a depth, probabilities add up to at most 1."""
-    code = C.huffman([b"\n", b"the", b"a"], [5, 4, 3], 2)
-    coder = C.Coder(code)
-    sizes = [code.n_nodes + 256, *(1 << b for b in C.SLOT_BITS)]
-    rng = np.random.default_rng(0)
-    tables = C.Tables([C.packed(rng.integers(0, 9, s).astype(float), rng.integers(0, 9, s).astype(float)) for s in sizes])
-    mixer = C.Mixer(C.first_weights(), np.full((C.GATES, C.MAP_CELLS), 0.5))
-    prices = mixer.price_list()
-    cost = lambda *w: mixer.costs(tables, coder.encode([list(w)]), prices)[0]
-    base = cost(b"the")
-    total = sum(2 ** -(cost(b"the", w) - base) for w in (b"\n", b"the", b"a"))
-    bits = coder.encode([[b"zq"]])
-    assert total < 1 and bits.kind.sum() > 8 and math.isfinite(cost(b"zq"))
-    all_bits = 2.0 ** -prices.reshape(C.GATES, C.STEPS, 2)
-    assert np.allclose(all_bits.sum(axis=2), 1, atol=1e-5)
-
-
-def test_scores_end_to_end(spark):
-    rng = random.Random(3)
-    vocabulary = [words(rng, ["th", "an", "er", "on"], 1) for _ in range(60)]
-    rows = [(i, " ".join(rng.choices(vocabulary, weights=range(1, 61), k=60))) for i in range(250)]
-    rows += [(900, None), (900, None), (901, ""), (902, "The\x0bTHE\u00a0x the"), (None, "the a"), (903, "word" * 5000), (904, "new words " * 3000)]
-    docs = spark.createDataFrame([(i, t, 0.5) for i, t in rows], "doc_id long, text string, score double")
-    out = C.score_texts(docs, size=50).collect()
-    counts: Counter = Counter()
-    held = lambda i: zlib.crc32(str("" if i is None else i).encode()) % 7 == 2
-    for i, t in rows:
-        if not held(i):
-            counts.update(C.tokens(t))
-    n, v = sum(counts.values()), len(counts)
-    want = sorted((str(i), held(i), len(C.tokens(t)), sum(counts[w] > 0 for w in C.tokens(t)), n, round(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in C.tokens(t)), 6)) for i, t in rows)
-    assert sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in out) == want
-    assert all(r.score < 0 and math.isfinite(r.score) and abs(r.bits_per_byte + r.score / math.log10(2) / r.n_bytes) < 1e-9 for r in out)
-    trained = [r for r in out if not r.held_out and r.doc_id is not None and r.doc_id < 250]
-    assert sum(r.score for r in trained) > 1.3 * sum(r.base_score for r in trained)
-
-
-def test_scores_without_training_rows(spark):
-    docs = spark.createDataFrame([(i, "a b") for i in range(40) if zlib.crc32(str(i).encode()) % 7 == 2], "doc_id long, text string")
-    out = C.score_texts(docs).collect()
-    assert len(out) == docs.count() and all(r.train_tokens == 0 and r.n_known == 0 and r.score < 0 for r in out)
-    assert C.score_texts(docs.limit(0)).count() == 0
-
-
-def test_counts_do_not_depend_on_tasks(spark):
-    code = C.huffman([b"a", C.END, b"b"], [3000, 60, 6], 1)
-    rows = [(" ".join(["a"] * 100 if i % 10 else ["a"] * 50 + ["b"] + ["a"] * 49),) for i in range(60)]
-    docs = spark.createDataFrame(rows, "text string")
-    shared = spark.sparkContext.broadcast(code)
-    one, many = (C.count_bits(docs.repartition(n), code, shared, 1) for n in (1, 3))
-    bits = C.Coder(code).encode([C.tokens(t) for (t,) in rows])
-    want = []
-    for place, size in zip(bits.places[1:], C.SLOT_BITS, strict=True):
-        pairs = np.bincount(2 * place + bits.bit, minlength=2 << size)
-        assert pairs.max() > 0xFF
-        want.append(C.packed(pairs[0::2], pairs[1::2]))
-    same = lambda tables: all((own == slots).all() for own, slots in zip(tables.slots[1:], want, strict=True))
-    assert same(one) and same(many)
-    old, C.MOST_BITS = C.MOST_BITS, 6000
-    try:
-        assert same(C.count_bits(docs.repartition(1), code, shared, 1))
-    finally:
-        C.MOST_BITS = old
