@@ -14,13 +14,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Set while a plan is made: its shuffle files are removed as soon as its result is kept.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def durable(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in the cluster's shared checkpoint folder."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        own = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(own or tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint()
+    """df, computed once and kept in the cluster's shared checkpoint folder.
+
+    The shuffle files that led to it are removed then. Without
+    spark.checkpoint.dir a local session gets a folder of its own; a cluster,
+    where no such folder would be shared, is refused.
+    """
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="spark-"))
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        return df.select("*").checkpoint()
+    finally:
+        spark.conf.set(CLEANUP, before)
 
 
 def fold(id_column: str, n: int) -> Column:
