@@ -8,6 +8,7 @@ distinct length is all that is shuffled. Suffix sums are taken in two levels
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -19,10 +20,16 @@ from pyspark.sql.window import Window
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How the byte-level BPE cuts a text before merging (fixed by the vocabulary).
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Takes any text as one piece.
+WHOLE = r"[\s\S]+"
 #: Distinct lengths that share a block of the suffix sums.
 BLOCK = 4096
 
 
+#: A run of white space (as the pattern's \\s has it) that is too long for the pattern's look-ahead, which recurses.
+LONG_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{2000,}")
+
+
 @lru_cache(maxsize=2)
 def _encoding(vocabulary: bytes, pattern: str):
     import tiktoken
@@ -31,6 +38,21 @@ def _encoding(vocabulary: bytes, pattern: str):
     return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+def count_tokens(text: str, cut, whole) -> int:
+    """Tokens of a text; `whole` takes what it gets as one piece.
+
+    A long run of white space before a word is one piece without its last
+    character, which goes with the word; at the end of the text all of it is
+    one piece. These are the pattern's own cuts.
+    """
+    total, at = 0, 0
+    for run in LONG_SPACE.finditer(text):
+        stop = run.end() if run.end() == len(text) else run.end() - 1
+        total += len(cut.encode_ordinary(text[at : run.start()])) + len(whole.encode_ordinary(text[run.start() : stop]))
+        at = stop
+    return total + len(cut.encode_ordinary(text[at:]))
+
+
 def encoded_length(spark: SparkSession, text: Column, vocabulary_path: str = VOCABULARY, pattern: str = PATTERN) -> Column:
     """Number of tokens of the whole text; 0 for null and empty texts.
 
@@ -41,9 +63,9 @@ def encoded_length(spark: SparkSession, text: Column, vocabulary_path: str = VOC
 
     @F.pandas_udf("long")
     def lengths(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = _encoding(shared.value, pattern).encode_ordinary
+        cut, whole = _encoding(shared.value, pattern), _encoding(shared.value, WHOLE)
         for batch in batches:
-            yield pd.Series([len(encode(t)) if t else 0 for t in batch], dtype="int64")
+            yield pd.Series([count_tokens(t, cut, whole) if t else 0 for t in batch], dtype="int64")
 
     return lengths(text)
 

@@ -28,6 +28,22 @@ def test_lengths_and_histogram_against_brute_force(spark):
     assert {r.quantile: r.n_tokens for r in T.quantile_lengths(histogram, [0.5, 1.0]).collect()} == {0.5: sorted(want)[3], 1.0: max(want)}
 
 
+def test_long_white_space_is_cut_as_the_pattern_cuts_it():
+    with open(T.VOCABULARY, "rb") as file:
+        vocabulary = file.read()
+    cut, whole = T._encoding(vocabulary, T.PATTERN), T._encoding(vocabulary, T.WHOLE)
+    for space in (" ", "\n", " \n\t", "\u00a0", "\u2003 ", "\x85"):
+        run = space * (3000 // len(space))
+        for text in (run, f"a{run}", f"a{run}b", f"{run}!x", f"a {run}7{run}'s{run}", f"{run}\x1c{run}é"):
+            assert T.count_tokens(text, cut, whole) == len(cut.encode_ordinary(text))
+
+
+def test_million_spaces(spark):
+    texts = [" " * 1_000_000, "\n" * 3_000_000 + "x", "a" * 1_000_000, "ab 12 \n" * 200_000]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select(T.encoded_length(spark, F.col("text")).alias("n"))
+    assert all(r.n > 100_000 for r in rows.collect())
+
+
 def test_blocks_and_empty(spark):
     old, T.BLOCK = T.BLOCK, 2
     rows = spark.range(50).select((F.col("id") % 7).alias("n_tokens"))
