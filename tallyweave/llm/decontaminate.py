@@ -23,8 +23,8 @@ WINDOW = 13
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: ASCII bytes that are no part of a word become spaces, A-Z lower case.
 NORMAL = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
-#: UTF-8 bytes of item text that one automaton may hold; beyond it the items are dealt to several.
-AUTOMATON_BYTES = 32 << 20
+#: UTF-8 bytes of item text that one automaton may hold; beyond it the items are dealt to several. So few bytes can't hold more distinct words than there are symbols.
+AUTOMATON_BYTES = 4 << 20
 RESULT = "n_words long, n_hit long, items array<string>, spans array<struct<start: int, stop: int>>"
 Items = list[tuple[str, str]]
 
