@@ -39,6 +39,14 @@ def durable(df: DataFrame) -> DataFrame:
         spark.conf.set(CLEANUP, before)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that df has not, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def fold(id_column: str, n: int) -> Column:
     """crc32 of the id as text, modulo n (a null id counts as the empty text)."""
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit(""))) % n

@@ -1,6 +1,7 @@
 """Self-join of documents on the Jaccard similarity of their word shingles.
 
-Equal texts are folded into one. MinHash bands give candidate buckets; buckets
+Equal texts are folded into one, whose key is a hash of the text, so that rows
+which share a doc_id but not a text are apart. MinHash bands give candidate buckets; buckets
 with the same members are searched once, and a pair only in the first band that
 it shares, so that no pair is written out before it is known to be a link and
 none is looked at twice. In a bucket MinHash values are compared a few at a
@@ -19,10 +20,10 @@ from math import comb
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import durable, free_name
 from .texthash import shingle_sets
 
 THRESHOLD, WORDS = 0.8, 5
@@ -33,8 +34,8 @@ STEP, TOLERANCE = 16, 1e-6
 BLOCK = 512
 #: Pairs compared at a time.
 PAIRS_TOGETHER = 1 << 16
-#: Texts whose shingles are made together.
-TOGETHER = 1000
+#: Texts whose shingles are made together, and characters (more only if one text has more).
+TOGETHER, CHARS_TOGETHER = 1000, 1 << 22
 FACTORS = np.random.default_rng(20).integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -118,18 +119,34 @@ def by_group(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.Da
         yield rest
 
 
+def text_key(text: str = "text") -> Column:
+    """Key of a text: 64 bits of hash; null texts have none."""
+    return F.when(F.col(text).isNotNull(), F.xxhash64(text))
+
+
+def stretches(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """A batch's rows in pieces of bounded rows and characters."""
+    start, n = 0, 0
+    for i, length in enumerate(batch["text"].str.len()):
+        if i > start and (i - start >= TOGETHER or n + length > CHARS_TOGETHER):
+            yield batch.iloc[start:i]
+            start, n = i, 0
+        n += length
+    if start < len(batch):
+        yield batch.iloc[start:]
+
+
 def sketches(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, text_hash, signature and band keys of every text that is not null."""
+    """doc_id, id (key of the text), signature and band keys of every text that is not null."""
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), TOGETHER):
-                some = batch.iloc[at : at + TOGETHER]
+            for some in stretches(batch):
                 signatures = np.stack([minhash(s) for s in shingle_sets(some["text"].to_list(), words)])
-                yield pd.DataFrame({"doc_id": some["doc_id"], "text_hash": some["text_hash"], "signature": [s.tobytes() for s in signatures], "keys": list(band_keys(signatures))})
+                yield pd.DataFrame({"doc_id": some["doc_id"], "id": some["id"], "signature": [s.tobytes() for s in signatures], "keys": list(band_keys(signatures))}).astype({"doc_id": "Int64"})
 
-    rows = docs.filter("text is not null and doc_id is not null").select("doc_id", F.unhex(F.md5("text")).alias("text_hash"), "text")
-    return rows.mapInPandas(sketch, "doc_id long, text_hash binary, signature binary, keys array<long>")
+    rows = docs.filter("text is not null").select("doc_id", text_key().alias("id"), "text")
+    return rows.mapInPandas(sketch, "doc_id long, id long, signature binary, keys array<long>")
 
 
 def block_pairs(members: DataFrame) -> DataFrame:
@@ -146,14 +163,15 @@ GROUP = ["key", "a", "b"]
 def find_links(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, tolerance: float = TOLERANCE) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Texts, links as spanning edges, and how many links each text has.
 
-    texts(text_hash, id, copies): distinct texts, by their smallest doc_id;
-    edges(one, two): links that connect what all links connect;
-    counts(id, links, linked_docs): other texts linked, and rows with these.
+    texts(id, first, copies): distinct texts, their smallest doc_id (null if
+    all are) and their rows; edges(one, two): links that connect what all links
+    connect; counts(id, links, linked_docs): other texts linked, and rows with
+    these.
     """
     known = durable(sketches(docs, words))
-    texts = durable(known.groupBy("text_hash").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies")))
-    chosen = known.join(texts.withColumnRenamed("id", "doc_id"), ["text_hash", "doc_id"]).dropDuplicates(["text_hash", "doc_id"])
-    chosen = chosen.withColumnRenamed("doc_id", "id")
+    texts = durable(known.groupBy("id").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies")))
+    firsts = texts.select("id", F.col("first").alias("doc_id"))
+    chosen = known.join(firsts, (known.id == firsts.id) & known.doc_id.eqNullSafe(firsts.doc_id), "left_semi").dropDuplicates(["id"])
     entries = chosen.select("id", F.posexplode("keys").alias("band", "key"))
     buckets = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("band").alias("band"), F.min("id").alias("first"), F.bit_xor(F.xxhash64("id")).alias("mark"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("mark2")).filter("n > 1")
     buckets = buckets.groupBy("n", "first", "mark", "mark2").agg(F.min(F.struct("band", "key")).alias("b")).select("b.key", "b.band", "n")
@@ -170,16 +188,15 @@ def find_links(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS
                 yield rows.iloc[np.unique(np.concatenate([p, q]))][[*GROUP, "band", "side", "id"]]
 
     taking_part = durable(grouped.mapInPandas(prune, "key long, a int, b int, band int, side int, id long"))
-    wanted = taking_part.select("id").distinct().join(texts, "id")
+    wanted = taking_part.select("id").distinct().join(texts, "id").select("id", F.col("first").alias("doc_id"), "copies")
 
     def shingle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), TOGETHER):
-                some = batch.iloc[at : at + TOGETHER]
+            for some in stretches(batch):
                 yield pd.DataFrame({"id": some["id"], "copies": some["copies"], "shingles": [s.tobytes() for s in shingle_sets(some["text"].to_list(), words)]})
 
-    own_texts = docs.filter("text is not null").select(F.col("doc_id").alias("id"), F.unhex(F.md5("text")).alias("text_hash"), "text")
-    own_texts = own_texts.join(wanted.hint("shuffle_hash"), ["id", "text_hash"]).dropDuplicates(["id", "text_hash"])
+    own_texts = docs.filter("text is not null").select(F.col("doc_id").alias("own"), text_key().alias("key"), "text")
+    own_texts = own_texts.join(wanted.hint("shuffle_hash"), (F.col("key") == F.col("id")) & F.col("own").eqNullSafe(F.col("doc_id"))).dropDuplicates(["id"])
     sets = own_texts.select("id", "copies", "text").mapInPandas(shingle, "id long, copies long, shingles binary")
     regrouped = taking_part.join(sets, "id").repartition(*GROUP).sortWithinPartitions(*GROUP, "id")
 
@@ -248,6 +265,19 @@ def components(edges: DataFrame) -> DataFrame:
         labels = jumped.select("id", "label")
 
 
+def classes_of(docs: DataFrame, threshold: float, words: int, tolerance: float) -> DataFrame:
+    """id, first, copies, class_id, winner and n_links of each distinct text (see `near_duplicates`).
+
+    winner: the key of the class's text that has the class's smallest doc_id
+    (of several such texts the one with the smallest key).
+    """
+    texts, edges, counts = find_links(docs, threshold, words, tolerance)
+    labelled = texts.join(components(edges), "id", "left").withColumn("label", F.coalesce("label", "id")).join(counts, "id", "left")
+    heads = labelled.groupBy("label").agg(F.min(F.struct(F.col("first").isNull().alias("none"), "first", "id")).alias("head"))
+    joined = labelled.join(heads, "label").select("id", "first", "copies", F.col("head.first").alias("class_id"), F.col("head.id").alias("winner"), (F.col("copies") - 1 + F.coalesce("linked_docs", F.lit(0))).alias("n_links"))
+    return durable(joined)
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, tolerance: float = TOLERANCE) -> DataFrame:
     """One row for each row of docs(doc_id, text): doc_id, class_id, copy_id, n_links.
 
@@ -256,12 +286,34 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, words: int =
     copy_id: the smallest doc_id with an equal text; n_links: other rows that
     have an equal text or are linked. Texts of fewer words than a shingle are
     one shingle; all texts without a word are linked with each other. A null
-    text is linked with nothing and is its own class; so is a row with a null
-    doc_id. Repeated rows are rows of their own with an equal text.
+    text is linked with nothing and is its own class. A null doc_id is larger
+    than any; a class whose ids are all null has a null class_id. Repeated rows
+    are rows of their own with an equal text; rows that share a doc_id but not a
+    text are documents of their own. An empty table gives no rows.
     """
-    texts, edges, counts = find_links(docs, threshold, words, tolerance)
-    classes = texts.join(components(edges), "id", "left").join(counts, "id", "left")
-    classes = durable(classes.select("text_hash", F.coalesce("label", "id").alias("class_id"), F.col("id").alias("copy_id"), (F.col("copies") - 1 + F.coalesce("linked_docs", F.lit(0))).alias("n_links")))
-    rows = docs.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.unhex(F.md5("text"))).alias("text_hash"))
-    alone = rows.filter("text_hash is null").select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_id"), F.lit(0).cast("long").alias("n_links"))
-    return rows.join(classes, "text_hash").select("doc_id", "class_id", "copy_id", "n_links").unionByName(alone)
+    classes = classes_of(docs, threshold, words, tolerance).select("id", "class_id", F.col("first").alias("copy_id"), "n_links")
+    rows = docs.select("doc_id", text_key().alias("id"))
+    alone = rows.filter("id is null").select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_id"), F.lit(0).cast("long").alias("n_links"))
+    return rows.join(classes, "id").select("doc_id", "class_id", "copy_id", "n_links").unionByName(alone)
+
+
+def one_of_each(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, tolerance: float = TOLERANCE) -> DataFrame:
+    """Rows of docs of which one stays of each class of `near_duplicates`.
+
+    That is the row with the class's smallest doc_id (with the smaller key of
+    the text, then the smallest in its other columns, where several have it).
+    Rows with a null text all stay. Columns of any name may follow.
+    """
+    key, own = free_name(docs, "key"), free_name(docs, "own")
+    classes = classes_of(docs, threshold, words, tolerance)
+    keyed = docs.withColumn(key, text_key())
+    rows = docs.select("doc_id", text_key().alias("id")).filter("id is not null").groupBy("id", "doc_id").count()
+    told = rows.join(classes.select("id", "first", "winner"), "id")
+    wins = (F.col("id") == F.col("winner")) & F.col("doc_id").eqNullSafe(F.col("first"))
+    lost = told.filter(~wins).select(F.col("id").alias(key), F.col("doc_id").alias(own)).hint("shuffle_hash")
+    kept = keyed.join(lost, (keyed[key] == lost[key]) & keyed["doc_id"].eqNullSafe(lost[own]), "left_anti")
+    repeated = durable(told.filter(wins & (F.col("count") > 1)).select(F.col("id").alias(key)))
+    if not repeated.limit(1).count():
+        return kept.drop(key)
+    once = kept.join(repeated, key, "left_semi").groupBy(key).agg(F.min(F.struct(*(F.col(c) for c in docs.columns))).alias(own)).select(f"{own}.*")
+    return kept.join(repeated, key, "left_anti").drop(key).unionByName(once)

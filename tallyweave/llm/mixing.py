@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import before, durable
+from .common import before, durable, free_name
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -104,8 +104,8 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """docs with each row as often as the mix takes it."""
-    decided = mix(docs, **options).filter("times > 0").select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), "times")
-    decided = decided.withColumnRenamed("times", "__times").hint("shuffle_hash")
-    same = docs["doc_id"].eqNullSafe(decided["__id"]) & docs["source"].eqNullSafe(decided["__source"]) & (n_words(docs["text"]) == decided["__size"])
-    return docs.join(decided, same).select(*(docs[c] for c in docs.columns), F.explode(F.array_repeat(F.lit(1), F.col("__times"))).alias("__time")).drop("__time")
+    """docs with each row as often as the mix takes it (see `mix`); columns of any name may follow."""
+    own_id, source, size, times, time = (free_name(docs, n) for n in ("mixed_id", "mixed_source", "mixed_size", "mixed_times", "mixed_time"))
+    decided = mix(docs, **options).filter("times > 0").select(F.col("doc_id").alias(own_id), F.col("source").alias(source), F.col("size").alias(size), F.col("times").alias(times)).hint("shuffle_hash")
+    same = docs["doc_id"].eqNullSafe(decided[own_id]) & docs["source"].eqNullSafe(decided[source]) & (n_words(docs["text"]) == decided[size])
+    return docs.join(decided, same).select(*(docs[c] for c in docs.columns), F.explode(F.array_repeat(F.lit(1), F.col(times))).alias(time)).drop(time)

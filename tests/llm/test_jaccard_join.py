@@ -3,13 +3,15 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from tallyweave.llm import jaccard_join as J
 
 
 def brute(rows, threshold=0.8):
     sets = {}
     for k, (i, t) in enumerate(rows):
-        if i is not None and t is not None:
+        if t is not None:
             w = t.lower().split()
             sets[k] = frozenset(tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))) if w else frozenset()
     parent = list(range(len(rows)))
@@ -30,7 +32,8 @@ def brute(rows, threshold=0.8):
                     parent[max(top(a), top(b))] = min(top(a), top(b))
     smallest = {}
     for k in sets:
-        smallest[top(k)] = min(smallest.get(top(k), rows[k][0]), rows[k][0])
+        known = [i for i in (smallest.get(top(k)), rows[k][0]) if i is not None]
+        smallest[top(k)] = min(known, default=None)
     return sorted((rows[k][0] is None, rows[k][0] or 0, smallest[top(k)] if k in sets else rows[k][0], links[k]) for k in range(len(rows)))
 
 
@@ -61,6 +64,17 @@ def test_against_brute_force(spark):
     assert got == brute(rows)
 
 
+def test_rows_that_share_an_id_are_apart(spark):
+    a, b = "a a1 a2 a3 a4 a5", "b b1 b2 b3 b4 b5"
+    rows = [(3, a, "x"), (5, a, "y"), (5, b, "y"), (7, b, "z"), (7, "c", "z"), (None, a, "q"), (None, "d", "q"), (8, None, "n"), (8, None, "n"), (9, "e", "v"), (9, "e", "u")]
+    docs = spark.createDataFrame([(*r, "w", 1, 2) for r in rows], "doc_id long, text string, source string, key string, own int, id int")
+    got = sorted((str(r.doc_id), r.text or "", r.class_id) for r in J.near_duplicates(docs).join(docs.select("doc_id", "text").distinct().withColumnRenamed("doc_id", "i"), F.col("doc_id").eqNullSafe(F.col("i"))).filter("text is not null").collect() if r.doc_id in (3, 9))
+    assert set(got) == {("3", a, 3), ("9", "e", 9)}
+    kept = sorted((str(r.doc_id), r.text or "", r.source) for r in J.one_of_each(docs).collect())
+    assert kept == sorted([("3", a, "x"), ("5", b, "y"), ("7", "c", "z"), ("None", "d", "q"), ("8", "", "n"), ("8", "", "n"), ("9", "e", "u")])
+    assert J.one_of_each(docs).columns == docs.columns and J.one_of_each(docs.limit(0)).count() == 0
+
+
 def test_repeated_rows_and_empty(spark):
     docs = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (2, "q")], "doc_id long, text string")
     assert sorted((r.doc_id, r.class_id, r.n_links) for r in J.near_duplicates(docs).collect()) == [(1, 1, 1), (1, 1, 1), (2, 2, 0)]
