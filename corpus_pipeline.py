@@ -8,47 +8,54 @@ checkpoint folder, so a lost executor costs one stage at most.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallyweave.llm import toxicity
-from tallyweave.llm.common import durable, table
+from tallyweave.llm.common import durable, free_name, table
 from tallyweave.llm.decontaminate import is_contaminated, scan_documents
-from tallyweave.llm.jaccard_join import near_duplicates
+from tallyweave.llm.jaccard_join import one_of_each
 from tallyweave.llm.mixing import mixed_documents
 from tallyweave.llm.queries import sharded
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score is below 0.5."""
+    """Documents whose toxicity score is below 0.5.
+
+    Each row is judged by its text alone, so repeated rows stay or go together;
+    null and empty texts have the score of no features; a score of 0.5 goes.
+    Without labelled rows nothing is rejected.
+    """
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return docs.filter(toxicity.toxicity(docs, model) < 0.5)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id; rows without an id or a text all stay."""
-    classes = durable(near_duplicates(docs.select("doc_id", "text")))
-    losers = classes.filter("class_id != doc_id").select("doc_id").distinct()
-    kept = docs.join(losers.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
-    repeated = durable(classes.filter("class_id = doc_id and copy_id is not null and n_links > 0").groupBy("doc_id").count().filter("count > 1").select("doc_id"))
-    if repeated.limit(1).count():
-        once = kept.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"])
-        kept = kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
-    return kept
+    """Of each group of near-duplicates the row with the smallest id (see `one_of_each` for ties, repeats and nulls)."""
+    return one_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which less than one word in twenty stands in a passage of the benchmark."""
-    scanned = scan_documents(docs, table(spark, sf_dir, "benchmark"), "__scan")
-    return scanned.filter(~is_contaminated("__scan")).drop("__scan")
+    """Documents without a hit word, or with less than one word in twenty in a passage of the benchmark.
+
+    Each row is judged by its text alone, so repeated rows stay or go together;
+    null and empty texts have no words and stay; exactly one in twenty goes; an
+    empty benchmark rejects nothing.
+    """
+    name = free_name(docs, "scan")
+    scanned = scan_documents(docs, table(spark, sf_dir, "benchmark"), name)
+    return scanned.filter(~is_contaminated(name)).drop(name)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix of sources takes it."""
+    """Each document as often as the mix of sources takes it.
+
+    Rows alike in doc_id, source and size are taken equally often; null and
+    empty texts have no words and are not taken; a null source is a source.
+    """
     return mixed_documents(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shard and slot of every row of the mix."""
+    """Shard and slot of every row of the mix; repeated rows are placed one by one, null texts by their id."""
     return sharded(docs)
 
 
