@@ -5,8 +5,8 @@ the word's edges are its affixes) and of lexicon entries; transitions are
 learned from code-switched sequences of sample segments. Forward-backward runs
 on whole texts: words are laid out in chunks of a fixed length, the chunks'
 transfer matrices are chained along each text, and all chunks of a batch are
-worked on side by side, so the result is exact and a long text takes no loop of
-its own length.
+worked on side by side, so the result is exact and a long text takes one step
+of a loop for each chunk, not for each word.
 """
 
 from __future__ import annotations
@@ -93,6 +93,12 @@ def scaled(x: np.ndarray, axes: tuple[int, ...]) -> np.ndarray:
 
 def marginals(emissions: np.ndarray, lengths: np.ndarray, transitions: np.ndarray) -> np.ndarray:
     """Posterior of each word's label, for the words of several texts one after another."""
+    ahead, behind, _ = messages(emissions, lengths, transitions)
+    return scaled(ahead * behind, (1,))
+
+
+def messages(emissions: np.ndarray, lengths: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each word and label, up to a factor: what is told by the words so far, by the later ones, by this and the later ones."""
     n_langs = emissions.shape[1]
     chunks = np.maximum(1, -(-lengths // CHUNK))
     first = np.concatenate([[0], np.cumsum(chunks)])
@@ -114,16 +120,35 @@ def marginals(emissions: np.ndarray, lengths: np.ndarray, transitions: np.ndarra
         ahead[c] = scaled((ahead[c - 1][:, None, :] @ transfer[c - 1])[:, 0, :], (1,))
         c = first[1:][chunks > k] - 1 - k
         behind[c] = scaled((transfer[c + 1] @ behind[c + 1][:, :, None])[:, :, 0], (1,))
-    forward = np.empty_like(e)
+    forward, backward, own_and_later = np.empty_like(e), np.empty_like(e), np.empty_like(e)
     now = ahead
     for t in range(CHUNK):
         now = np.where(there[t][:, None], scaled((now @ move) * e[t], (1,)), now)
         forward[t] = now
     now = behind
     for t in range(CHUNK - 1, -1, -1):
-        forward[t] *= now
-        now = np.where(there[t][:, None], scaled((e[t] * now) @ move.T, (1,)), now)
-    return scaled(forward[step, chunk], (1,))
+        backward[t], own_and_later[t] = now, e[t] * now
+        now = np.where(there[t][:, None], scaled(own_and_later[t] @ move.T, (1,)), now)
+    return forward[step, chunk], backward[step, chunk], own_and_later[step, chunk]
+
+
+def transition_gap(ahead: np.ndarray, own_and_later: np.ndarray, truth: np.ndarray, lengths: np.ndarray, transitions: np.ndarray) -> np.ndarray:
+    """Gradient of the log-likelihood by the transitions: those of the truth less those expected.
+
+    A text's first label follows one that is not seen and may be any.
+    """
+    n_langs = transitions.shape[0]
+    move = np.exp(transitions - transitions.max())
+    opens = np.cumsum(lengths)[lengths > 0] - lengths[lengths > 0]
+    follows = np.ones(len(truth), dtype=bool)
+    follows[opens] = False
+    after = np.flatnonzero(follows)
+    seen = np.zeros((n_langs, n_langs))
+    np.add.at(seen, (truth[after - 1], truth[after]), 1)
+    seen += (scaled(move, (0,)) * np.bincount(truth[opens], minlength=n_langs))
+    pairs = scaled(ahead[after - 1][:, :, None] * move * own_and_later[after][:, None, :], (1, 2)).sum(axis=0)
+    first = scaled(move * own_and_later[opens][:, None, :], (1, 2)).sum(axis=0)
+    return seen - pairs - first
 
 
 def fit(samples: dict[str, list[str]], seed: int = 11) -> Model:
@@ -159,17 +184,14 @@ def fit(samples: dict[str, list[str]], seed: int = 11) -> Model:
     model = Model(languages, np.zeros((SLOTS, n_langs)), hashes, np.zeros((len(hashes), n_langs)), np.zeros((n_langs, n_langs)))
     lengths = np.full(-(-len(sequence) // (8 * CHUNK)), 8 * CHUNK)
     lengths[-1] = len(sequence) - lengths[:-1].sum()
-    follows = np.ones(len(sequence), dtype=bool)
-    follows[np.cumsum(lengths)[:-1]] = follows[0] = False
-    after = np.flatnonzero(follows)
     params = [model.weights, model.lexicon_weights, model.transitions]
     means, squares = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     has_letter = np.array([any(map(str.isalpha, w)) for w in names])
     one_hot = np.eye(n_langs)[truth]
     for t in range(1, ROUNDS + 1):
         by_word = scores(names, model)
-        posterior = marginals(by_word[sequence], lengths, model.transitions)
-        gap = (one_hot - posterior) / len(sequence)
+        ahead, behind, own_and_later = messages(by_word[sequence], lengths, model.transitions)
+        gap = (one_hot - scaled(ahead * behind, (1,))) / len(sequence)
         by_type = np.stack([np.bincount(sequence, weights=gap[:, k], minlength=len(names)) for k in range(n_langs)], axis=1) * has_letter[:, None]
         g_weights = np.zeros_like(model.weights)
         for slots, owner in grams:
@@ -177,12 +199,8 @@ def fit(samples: dict[str, list[str]], seed: int = 11) -> Model:
                 g_weights[:, k] += np.bincount(slots, weights=by_type[owner, k], minlength=SLOTS)
         g_lexicon = np.zeros_like(model.lexicon_weights)
         np.add.at(g_lexicon, at, by_type[listed])
-        # expected transitions from the posteriors of neighbours, joined by the chain's own transitions
-        pair = posterior[after - 1][:, :, None] * np.exp(model.transitions)[None] * posterior[after][:, None, :]
-        pair = scaled(pair, (1, 2))
-        seen = np.zeros((n_langs, n_langs))
-        np.add.at(seen, (truth[after - 1], truth[after]), 1 / len(sequence))
-        for i, (p, g) in enumerate(zip(params, (g_weights, g_lexicon, seen - pair.sum(axis=0) / len(sequence)), strict=True)):
+        g_transitions = transition_gap(ahead, own_and_later, truth, lengths, model.transitions) / len(sequence)
+        for i, (p, g) in enumerate(zip(params, (g_weights, g_lexicon, g_transitions), strict=True)):
             g = g - DECAY * p
             means[i] = 0.9 * means[i] + 0.1 * g
             squares[i] = 0.99 * squares[i] + 0.01 * g * g
@@ -191,13 +209,19 @@ def fit(samples: dict[str, list[str]], seed: int = 11) -> Model:
 
 
 def train(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Model:
-    """A model from whole texts with a language outside fold 0: of each language, those first by a hash of doc_id."""
+    """A model from whole texts with a language outside fold 0: of each language, those first by a hash of doc_id.
+
+    Rows without an id, a language or a text, and longer texts, teach nothing.
+    Of rows with the same id and language the least text teaches, once. With no
+    rows left the model knows no language.
+    """
     usable = docs.filter((fold("doc_id", FOLDS) != 0) & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") <= CHARACTERS_PER_ROW))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit("language")), "doc_id")
-    ids = usable.select("doc_id", "lang").withColumn("k", F.row_number().over(order)).filter(F.col("k") <= rows_per_language).drop("k")
+    ids = usable.select("doc_id", "lang").distinct().withColumn("k", F.row_number().over(order)).filter(F.col("k") <= rows_per_language).drop("k")
     chosen = docs.sparkSession.createDataFrame([tuple(r) for r in ids.collect()], ids.schema)
     samples: dict[str, list[str]] = {}
-    for r in sorted(docs.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"]).filter("text is not null").collect()):
+    texts = docs.filter(F.length("text") <= CHARACTERS_PER_ROW).join(F.broadcast(chosen), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+    for r in sorted(texts.select("doc_id", "lang", "text").collect()):
         samples.setdefault(r.lang, []).append(r.text)
     return fit(samples)
 
@@ -226,7 +250,12 @@ def label_texts(texts: Sequence[str | None], model: Model) -> list[tuple[str, fl
 
 
 def language(docs: DataFrame, model: Model, text: str = "text") -> Column:
-    """struct(lang, score) of the whole text; `und` and 0 where it is null or has no letter."""
+    """struct(lang, score) of the whole text; `und` and 0 where it is null or has no letter.
+
+    Each row is labelled by its text alone, so repeated rows agree; of languages
+    with equal shares the first in code point order is given. A model without
+    languages gives `und`. Memory grows with the longest text.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang string, score double")
