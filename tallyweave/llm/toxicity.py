@@ -25,7 +25,7 @@ POSITIVES, UNLABELLED = 3000, 6000
 FOLDS = 5
 PREFIXES = (4, 5, 6)
 #: A feature is kept if so many confirmed texts have it, so many standard errors more often than unlabelled ones.
-LEAST_TEXTS, LEAST_Z = 4, 6.0
+LEAST_TEXTS, LEAST_Z = 4, 5.0
 EPOCHS, BATCHES, RATE, DECAY = 120, 2, 0.05, 5e-6
 #: Tokens whose features are remembered at a time by one Python worker.
 REMEMBERED = 400_000
@@ -69,6 +69,19 @@ class Reader:
         return found
 
 
+def sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
+
+
+def risk_gradient(out: np.ndarray, is_positive: np.ndarray, prior: float) -> np.ndarray:
+    """Gradient, by the outputs, of prior * R_P(+) + max(0, R_U(-) - prior * R_P(-)) with the logistic loss."""
+    p = is_positive
+    loss_neg = np.logaddexp(0, out)
+    risk_neg = loss_neg[~p].mean() - prior * loss_neg[p].mean()
+    pull_neg = np.where(p, -prior / p.sum(), 1 / (~p).sum()) * sigmoid(out)
+    return np.where(p, -prior / p.sum() * sigmoid(-out), 0.0) + (pull_neg if risk_neg >= 0 else 0.0)
+
+
 def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, seed: int = 7) -> Model:
     """Minimise prior * R_P(+) + max(0, R_U(-) - prior * R_P(-)) with the logistic loss.
 
@@ -93,7 +106,6 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
     w, b = np.zeros(len(kept)), 0.0
     m, v, t = np.zeros(len(kept) + 1), np.zeros(len(kept) + 1), 0
     random = np.random.default_rng(seed)
-    sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -40, 40)))
     for _ in range(EPOCHS):
         deal = np.concatenate([random.permutation(n_p) * BATCHES // n_p, random.permutation(n_u) * BATCHES // n_u])
         for batch in range(BATCHES):
@@ -104,10 +116,7 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
             p = is_p[own]
             if not p.any() or p.all():
                 continue
-            loss_neg = np.logaddexp(0, out)
-            risk_neg = loss_neg[~p].mean() - prior * loss_neg[p].mean()
-            pull_neg = np.where(p, -prior / p.sum(), 1 / (~p).sum()) * sigmoid(out)
-            pull = np.where(p, -prior / p.sum() * sigmoid(-out), 0.0) + (pull_neg if risk_neg >= 0 else 0.0)
+            pull = risk_gradient(out, p, prior)
             grad = np.append(np.bincount(cols[take], weights=pull[local], minlength=len(kept)) + DECAY * w, pull.sum())
             t += 1
             m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
@@ -120,8 +129,12 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     """A classifier from confirmed toxic rows and unlabelled rows outside fold 0.
 
     The class prior is the toxic share of the labelled rows outside fold 0. A
-    document is confirmed if any of its labels is 1; the samples are the rows
-    that come first by a hash of doc_id.
+    document is confirmed if any of its labels is 1; the samples are the
+    documents that come first by a hash of doc_id (ties by doc_id). Of rows with
+    one doc_id the least text teaches, once; null ids and null labels teach
+    nothing, null and empty texts have no features. Without documents, without
+    confirmed ones or without labels the model has no weights and its score is
+    the same for all texts (near 0 if no label is 1).
     """
     known = labels.filter((fold("doc_id", FOLDS) != 0) & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     ids = docs.select("doc_id").filter((fold("doc_id", FOLDS) != 0) & F.col("doc_id").isNotNull()).distinct()
@@ -139,14 +152,18 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
             lists = [np.array(sorted(reader.read(t)), dtype=np.uint32).tobytes() for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "features": lists})
 
-    rows = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id").mapInPandas(read, "doc_id long, features binary").collect()
+    texts = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
+    rows = texts.mapInPandas(read, "doc_id long, features binary").collect()
     rows = sorted({r.doc_id: bytes(r.features) for r in rows}.items())
     decode = lambda x: np.frombuffer(x, dtype=np.uint32)
     return fit_nnpu([decode(x) for i, x in rows if i in sure], [decode(x) for i, x in rows if i in picked], float(found))
 
 
 def toxicity(docs: DataFrame, model: Model, text: str = "text") -> Column:
-    """Score of the whole text, 0 to 1; null and empty texts get the score of no features."""
+    """Score of the whole text, 0 to 1; null and empty texts get the score of no features.
+
+    Each row is scored by its text alone, so repeated rows agree.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")

@@ -82,3 +82,51 @@ def test_language_end_to_end(spark):
     assert got[903].lang == "zz" and 0.5 < got[903].score < 1 and got[None].lang == "xx" and got[904].lang == "xx"
     empty = L.train(docs.limit(0))
     assert docs.select(L.language(docs, empty).alias("f")).first().f.lang == "und"
+
+
+def test_transition_gradient_is_that_of_the_likelihood():
+    rng = np.random.default_rng(4)
+    old, L.CHUNK = L.CHUNK, 3
+    try:
+        lengths = np.array([1, 5, 0, 7, 2])
+        n = int(lengths.sum())
+        e, t, truth = rng.normal(size=(n, 3)), rng.normal(size=(3, 3)), rng.integers(0, 3, n)
+
+        def likelihood(t):
+            total, at = 0.0, 0
+            for k in lengths[lengths > 0]:
+                start = np.log(np.exp(t).sum(axis=0))  # of any label before the first
+                own = lambda path: sum(e[at + i, s] for i, s in enumerate(path)) + start[path[0]] + sum(t[a, b] for a, b in zip(path, path[1:]))  # noqa: B023, E731
+                total += own(truth[at : at + k]) - np.log(sum(np.exp(own(path)) for path in np.ndindex(*[3] * k)))
+                at += k
+            return total
+
+        ahead, _, own_and_later = L.messages(e, lengths, t)
+        got = L.transition_gap(ahead, own_and_later, truth, lengths, t)
+        for i, j in np.ndindex(3, 3):
+            step = np.zeros((3, 3))
+            step[i, j] = 1e-5
+            assert abs(got[i, j] - (likelihood(t + step) - likelihood(t - step)) / 2e-5) < 1e-6
+    finally:
+        L.CHUNK = old
+
+
+def test_risk_gradient_is_that_of_the_clamped_risk():
+    rng = np.random.default_rng(3)
+    clamped = set()
+    for prior in (0.1, 0.9):
+        p = np.arange(30) < 12
+        out = rng.normal(size=30) + 4 * (prior > 0.5) * p
+
+        def risk(out):
+            lose = lambda x: np.logaddexp(0, x)
+            rest = lose(out[~p]).mean() - prior * lose(out[p]).mean()  # noqa: B023
+            clamped.add(bool(rest < 0))
+            return prior * lose(-out[p]).mean() + max(0.0, rest)  # noqa: B023
+
+        got = X.risk_gradient(out, p, prior)
+        for i in range(30):
+            step = np.zeros(30)
+            step[i] = 1e-6
+            assert abs(got[i] - (risk(out + step) - risk(out - step)) / 2e-6) < 1e-7
+    assert clamped == {False, True}
