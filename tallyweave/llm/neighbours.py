@@ -31,8 +31,8 @@ WINDOW = 256
 BLOCK_ROWS = 4096
 #: Queries that are searched together against one block.
 GROUP_QUERIES = 4096
-#: Block summaries up to this many bytes are broadcast for pruning; beyond it every block is searched.
-SUMMARY_BYTES = 64 << 20
+#: Balls that are held against a group of queries at a time.
+BALLS_TOGETHER = 4096
 FOUND = "query_id long, vec_id long, score double"
 
 
@@ -99,7 +99,7 @@ def best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.n
 def usable(vectors: DataFrame) -> DataFrame:
     """Rows whose vector has only finite components, not all 0, and the commonest length; equal rows once."""
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
-    v = vectors.select("vec_id", F.col("embedding").cast("array<float>").alias("embedding"))
+    v = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
     v = v.filter(F.col("vec_id").isNotNull() & F.forall("embedding", finite) & F.exists("embedding", lambda x: x != 0)).distinct()
     length = v.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).limit(1).collect()
     return v.filter(F.size("embedding") == (length[0]["n"] if length else 0))
@@ -177,41 +177,37 @@ def in_blocks(base: DataFrame, scale: float, n_rows: int) -> DataFrame:
 
     keyed = base.withColumn("key", key("embedding"))
     ordered = keyed.repartitionByRange(max(1, -(-n_rows // BLOCK_ROWS)), "key", "vec_id").sortWithinPartitions("key", "vec_id")
-    return durable(ordered.mapInPandas(number, "vec_id long, embedding array<float>, search boolean, key long, block long"))
+    return durable(ordered.mapInPandas(number, "vec_id long, embedding array<double>, search boolean, key long, block long"))
 
 
 def block_candidates(placed: DataFrame, floors: DataFrame, n_queries: int, k: int) -> DataFrame:
     """The k best rows of each query from every block that its floor does not rule out."""
-    spark = placed.sparkSession
-
     def ball(rows: pd.DataFrame) -> pd.DataFrame:
         v = stacked(rows["embedding"])
         centre = v.mean(axis=0)
         return pd.DataFrame([(rows["block"].iloc[0], centre, np.sqrt(((v - centre) ** 2).sum(axis=1).max()))])
 
     balls = durable(placed.groupBy("block").applyInPandas(ball, "block long, centre array<double>, radius double"))
-    size = balls.agg(F.coalesce(F.sum(F.size("centre") * 8 + 16), F.lit(0))).first()[0]
+    pieces = max(1, -(-balls.count() // BALLS_TOGETHER))
+    balls = balls.withColumn("piece", F.pmod(F.xxhash64("block"), F.lit(pieces)))
     asked = placed.filter("search").join(floors, placed.vec_id == floors.query_id, "left").select("vec_id", "embedding", "floor")
     groups = max(1, -(-n_queries // GROUP_QUERIES))
-    asked = asked.withColumn("ask", F.pmod(F.xxhash64("vec_id"), F.lit(groups)))
-    if size <= SUMMARY_BYTES:
-        known = balls.toPandas()
-        shared = spark.sparkContext.broadcast((known["block"].to_numpy(), stacked(known["centre"]), known["radius"].to_numpy()) if len(known) else None)
-
-        @F.pandas_udf("array<long>")
-        def blocks_for(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-            names, centres, radii = shared.value
-            for embedding, floor in batches:
-                q = stacked(embedding)
-                bound = q @ centres.T + np.sqrt((q * q).sum(axis=1))[:, None] * radii
-                may = bound * (1 + 1e-9) + 1e-9 >= floor.fillna(-np.inf).to_numpy()[:, None]
-                yield pd.Series([names[row] for row in may])
-
-        asked = durable(asked.withColumn("block", F.explode(blocks_for("embedding", "floor"))))
-        pairs = asked.select("ask", "block").distinct()
-    else:
-        pairs = balls.select("block").withColumn("ask", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<long>")))
-        asked = asked.join(pairs, "ask")
+    asked = durable(asked.withColumn("ask", F.pmod(F.xxhash64("vec_id"), F.lit(groups))))
+
+    def blocks_for(questions: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        if not len(questions) or not len(own):
+            return pd.DataFrame(columns=["vec_id", "block"])
+        q, names = stacked(questions["embedding"]), own["block"].to_numpy()
+        bound = q @ stacked(own["centre"]).T + np.sqrt((q * q).sum(axis=1))[:, None] * own["radius"].to_numpy()
+        floor = questions["floor"].fillna(-np.inf).to_numpy()[:, None]
+        row, block = np.nonzero(bound + 1e-9 * np.abs(bound) + 1e-9 >= floor)
+        return pd.DataFrame({"vec_id": questions["vec_id"].to_numpy()[row], "block": names[block]})
+
+    everywhere = asked.withColumn("piece", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1)).cast("array<long>")))
+    to_ask = balls.withColumn("ask", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<long>")))
+    wanted = everywhere.groupBy("ask", "piece").cogroup(to_ask.groupBy("ask", "piece")).applyInPandas(blocks_for, "vec_id long, block long")
+    asked = durable(asked.join(wanted, "vec_id"))
+    pairs = asked.select("ask", "block").distinct()
     rows = placed.select("block", F.col("vec_id").alias("row_id"), F.col("embedding").alias("row")).join(pairs, "block").toDF("at_block", "row_id", "row", "at_ask")
 
     def search(questions: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallyweave.llm import neighbours as N
 
@@ -35,11 +36,20 @@ def test_against_brute_force_with_copies(spark):
     bad = [(900, None), (901, [0.0] * 8), (902, [float("nan")] * 8), (903, [1.0, None] * 4), (904, [float("inf")] * 8), (905, [1.0]), (None, [1.0] * 8)]
     df = spark.createDataFrame([(i, v, "clash") for i, v in rows + bad], SCHEMA).repartition(4)
     assert found(N.nearest(df, every=10, k=6)) == brute(rows, 10, 6)
-    old, N.SUMMARY_BYTES, N.BLOCK_ROWS = (N.SUMMARY_BYTES, N.BLOCK_ROWS), 0, 64
+    old, N.BALLS_TOGETHER, N.BLOCK_ROWS = (N.BALLS_TOGETHER, N.BLOCK_ROWS), 2, 64
     try:
         assert found(N.nearest(df, every=50, k=3)) == brute(rows, 50, 3)
     finally:
-        N.SUMMARY_BYTES, N.BLOCK_ROWS = old
+        N.BALLS_TOGETHER, N.BLOCK_ROWS = old
+
+
+def test_thousands_of_ties_and_doubles(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [1.0, float(rng.integers(1, 10**6)) / 7, 0.1]) for i in range(3000)]
+    rows[0] = (0, [1 / 3, 0.0, 1e-9])
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    got = found(N.nearest(df.withColumn("rank", F.lit(1)), every=3000, k=20))[0]
+    assert [v for v, _ in got] == list(range(1, 21)) and all(s == 1 / 3 * 1.0 + 1e-9 * 0.1 for _, s in got)
 
 
 def test_few_rows_and_none(spark):
