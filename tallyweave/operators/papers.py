@@ -53,14 +53,14 @@ def papers_from_works(works: DataFrame, fallback_journal: Column | str = "") ->
         F.coalesce(nz("primary_location.source.display_name"), fallback).alias("journal"),
         F.col("publication_year").alias("year"),
         normalize_doi("doi").alias("doi"),
-        F.coalesce(nz("primary_location.landing_page_url"), nz("doi"), nz("id"), F.lit("")).alias("url"),
+        text_or_empty("id").alias("url"),
         F.lit("").alias("abstract"),
         "authors",
         text_or_empty(first["name"]).alias("first_author_name"),
         F.transform(F.filter("authors", lambda a: a["is_corresponding"]), lambda a: a["name"]).alias("corresponding_author_names"),
         F.array_distinct(F.flatten(F.transform("authors", lambda a: a["affiliations"]))).alias("affiliations"),
         F.lit("openalex").alias("source"),
-        F.coalesce(nz("primary_location.landing_page_url"), nz("doi"), F.lit("")).alias("paper_url"),
+        F.coalesce(nz("primary_location.landing_page_url"), nz("doi"), nz("id"), F.lit("")).alias("paper_url"),
         text_or_empty("id").alias("source_api_url"),
     )
 
@@ -392,7 +392,7 @@ def backfill_affiliations(papers: DataFrame, works: DataFrame, landing: DataFram
 def quality_report(journals: DataFrame, papers: DataFrame, candidates: DataFrame, issues: DataFrame) -> DataFrame:
     """Counts for each journal: papers by source, merged, candidates, gaps, attributed errors; idle journals are left out."""
     dim = journals.select("journal_name", "achievement_level", normalize_publication_name("journal_name").alias("__key"), F.struct(tier_order("achievement_level").alias("tier"), "journal_name").alias("__order"))
-    per_key = dim.filter("__key != ''").groupBy("__key").agg(F.max_by("journal_name", "__order").alias("journal_name"))
+    per_key = dim.filter("__key != ''").groupBy("__key").agg(F.max_by("journal_name", "__order").alias("journal_name"), F.max_by("achievement_level", "__order").alias("achievement_level"))
     in_source = lambda s: text_or_empty("source").contains(s)
     paper_counts = papers.withColumn("__key", normalize_publication_name("journal")).groupBy("__key").agg(
         F.count(F.lit(1)).alias("papers"),
@@ -407,5 +407,5 @@ def quality_report(journals: DataFrame, papers: DataFrame, candidates: DataFrame
     error_counts = errors.filter("attributed is not null").groupBy(F.col("attributed").alias("journal_name")).agg(F.count(F.lit(1)).alias("errors"))
     joined = per_key.join(paper_counts, "__key", "left").join(candidate_counts, "__key", "left").join(error_counts, "journal_name", "left")
     numbers = ["papers", "openalex_papers", "crossref_papers", "merged_papers", "candidates", "scored_candidates", "missing_author", "missing_affiliation", "errors"]
-    filled = joined.select("journal_name", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in numbers))
+    filled = joined.select("journal_name", "achievement_level", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in numbers))
     return filled.filter("papers + candidates + errors > 0")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.lexicon import Lexicon, score_fields
 from ..functions.text import is_blank, normalize_text, text_or_empty
@@ -12,6 +13,8 @@ from .upsert import prefer_existing
 
 #: Columns of a person that a candidate replaces.
 REPLACED = ("paper_links", "paper_titles", "level_counts_json")
+#: Buckets that new issues are numbered in; a broadcast holds one row of each.
+ISSUE_BUCKETS = 4096
 ACCEPT, REVIEW, SURE = 0.70, 0.45, 0.65
 
 
@@ -74,7 +77,17 @@ def rescore(people: DataFrame, lexicon: Lexicon, fields: dict[str, tuple[str, fl
 
 
 def add_issues(issues: DataFrame, new: DataFrame) -> DataFrame:
-    """issues and the new rows after them; nothing is merged."""
-    last = issues.agg(F.coalesce(F.max("seq"), F.lit(0)).alias("__last"))
-    numbered = new.withColumn("seq", F.monotonically_increasing_id() + 1).crossJoin(F.broadcast(last)).withColumn("seq", (F.col("seq") + F.col("__last")).cast("long")).drop("__last")
-    return issues.unionByName(numbered, allowMissingColumns=True)
+    """issues and the new rows after them, numbered on in the order of their contents; nothing is merged.
+
+    Numbers are dealt in two levels (buckets of a hash of the row, then rows in
+    a bucket), so every run gives the same ones and no task needs all rows.
+    """
+    last = issues.agg(F.coalesce(F.max("seq"), F.lit(0)).alias("last"))
+    own = F.struct(*(F.col(c) for c in new.columns))
+    keyed = new.withColumn("bucket", F.pmod(F.xxhash64(F.to_json(own)), F.lit(ISSUE_BUCKETS)))
+    sizes = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    starts = sizes.withColumn("start", F.sum("n").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).drop("n")
+    nth = F.row_number().over(Window.partitionBy("bucket").orderBy(F.to_json(own)))
+    numbered = keyed.withColumn("nth", nth).join(F.broadcast(starts), "bucket").crossJoin(F.broadcast(last))
+    rows = numbered.select(*new.columns, (F.col("last") + F.col("start") + F.col("nth")).cast("long").alias("seq"))
+    return issues.unionByName(rows, allowMissingColumns=True)

@@ -20,6 +20,16 @@ SEVERITY = {
 TIERS = ((8.0, "high"), (5.0, "medium"), (2.0, "low"))
 GAPS = ("gap_missing_school", "gap_missing_homepage", "gap_missing_email", "gap_low_confidence", "gap_name_conflict", "gap_discipline_uncertain", "gap_high_output_no_affiliation")
 CONFIDENT, RELEVANT = 0.6, 0.5
+#: Label, severity and advice of each category of the gap report, in its order (fixed values of the file format).
+GAP_TEXTS = {
+    "missing_school": ("机构缺失", "high", "补强机构信息：优先通过论文作者页、ORCID、Semantic Scholar 查找机构"),
+    "missing_homepage_email": ("homepage/email 缺失", "medium", "通过官网或 LinkedIn 补全 contact 信息，P12 优先级处理"),
+    "low_confidence": ("低置信度", "medium", "低置信度记录人工复核时优先确认身份唯一性，避免同名误归并"),
+    "name_conflict": ("同名冲突", "high", "同名冲突需人工确认是否为同一人，避免错误合并"),
+    "discipline_uncertain": ("学科不确定", "medium", "学科评分低于 0.5 且状态为 needs_review 需人工确认相关性"),
+    "source_errors": ("数据质量问题", "medium", "高/中严重度数据问题优先修复，尤其是 affiliation 相关问题"),
+    "abstract_missing": ("abstract 缺失", "low", "如需 abstract 字段，后续可从 Crossref 或 Semantic Scholar 补充"),
+}
 
 
 def decimal(x: float | str) -> Column:
@@ -130,6 +140,13 @@ def gap_report(people: DataFrame, issues: DataFrame, seq: str = "seq") -> DataFr
     return out.unionByName(stub)
 
 
+def gap_texts(report: DataFrame) -> DataFrame:
+    """A gap report with the label, severity and advice of each category, as it is exported."""
+    told = F.create_map(*(F.lit(x) for k, v in GAP_TEXTS.items() for x in (k, "\x1f".join(v))))
+    parts = F.split(told[F.col("category")], "\x1f")
+    return report.withColumns({"gap_category_label": parts[0], "severity": parts[1], "recommendation": parts[2]})
+
+
 def rosters(people: DataFrame) -> DataFrame:
     """People with the roster that each belongs to; new ones belong to none."""
     status = F.lower(text_or_empty("review_status"))

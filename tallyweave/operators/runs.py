@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from ..functions.lexicon import Lexicon
+from .papers import gate, in_window
 
 RESUMABLE = ("created", "running", "partial")
 
@@ -103,3 +107,55 @@ def run_batch(items: DataFrame, works: DataFrame, journals: DataFrame, run_id: i
         F.when(F.col("known").isNull(), "journal not found").when(F.col("n").isNull(), F.concat(F.lit("no rows from "), "source")).otherwise("").alias("error"),
     )
     return papers, record(items, results)
+
+
+def open_run(runs: DataFrame, items: DataFrame, journals: DataFrame, resume: bool = True, **settings: object) -> tuple[DataFrame, DataFrame, int]:
+    """Runs, items and id of a batch with these settings: the newest that has not completed if resumed, else a new one.
+
+    settings: journal_group, from_year, works_per_journal, sources (and run_name,
+    which names a new run but does not tell runs apart). The run lists every
+    journal; those that it lists already keep their state.
+    """
+    same = {k: v for k, v in settings.items() if k != "run_name"}
+    found = latest_resumable(runs, **same).select("id").collect() if resume else []
+    if found:
+        run_id = int(found[0].id)
+    else:
+        name = settings.get("run_name") or f"{settings.get('journal_group')}-{settings.get('from_year')}-{settings.get('works_per_journal')}"
+        runs = create_run(runs, **(settings | {"run_name": name}))
+        run_id = int(latest_id(runs).first().id)
+    return runs, add_items(items, F.lit(run_id), journals), run_id
+
+
+def run_job(runs: DataFrame, items: DataFrame, works: DataFrame, journals: DataFrame, run_id: int, at: Column, current_year: int, lexicon: Lexicon | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Runs, items, papers and issues after a run's pending journals were collected with the run's own settings.
+
+    works(journal_id, source, year, title, abstract, journal, ...) is a dump of
+    all sources. Papers outside the window, and with a lexicon those that are not
+    relevant, are left out of `saved` but counted as seen; of a journal and
+    source at most works_per_journal are taken, the newest first. The run is
+    completed when all its items are, else partial.
+    """
+    setting = runs.filter(F.col("id") == run_id).select("from_year", "works_per_journal", "sources").first()
+    sources = [s for s in (setting.sources or "").split(",") if s]
+    started = set_status(runs, run_id, "running", at, started=True)
+    todo = pending(items, run_id).select("run_id", "journal_id")
+    known = todo.join(journals.select(F.col("id").alias("journal_id"), "journal_name"), "journal_id", "left")
+    inside = in_window("year", setting.from_year, current_year)
+    own = works.filter(F.col("source").isin(*sources)).join(known.filter("journal_name is not null"), "journal_id")
+    newest = Window.partitionBy("journal_id", "source").orderBy(F.desc("year"), "title")
+    taken = own.filter(inside).withColumn("nth", F.row_number().over(newest)).filter(F.col("nth") <= setting.works_per_journal).drop("nth")
+    papers, rejected = gate(taken, lexicon) if lexicon is not None else (taken, None)
+    seen = taken.groupBy("run_id", "journal_id", "source").agg(F.count(F.lit(1)).alias("seen"))
+    saved = papers.groupBy("run_id", "journal_id", "source").agg(F.count(F.lit(1)).alias("saved"))
+    asked = known.withColumn("source", F.explode(F.array(*map(F.lit, sources))))
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    results = asked.join(seen, ["run_id", "journal_id", "source"], "left").join(saved, ["run_id", "journal_id", "source"], "left").select(
+        "run_id", "journal_id", "source", zero("seen").alias("seen"), zero("saved").alias("saved"),
+        F.when(F.col("journal_name").isNull(), "journal not found").when(F.col("seen").isNull(), F.concat(F.lit("no rows from "), "source")).otherwise("").alias("error"),
+    )
+    after = record(items, results)
+    errors = results.filter("error != ''").select(F.lit("publication_run_items").alias("related_table"), F.lit("publication_source_error").alias("issue_type"), F.lit("medium").alias("severity"), F.col("error").alias("message"), F.lit("").alias("source_url"), F.lit("open").alias("status"))
+    issues = errors if rejected is None else errors.unionByName(rejected, allowMissingColumns=True)
+    done = after.filter(F.col("run_id") == run_id).agg(F.count_if(F.col("status") != "completed").alias("left")).first()["left"] == 0
+    return set_status(started, run_id, "completed" if done else "partial", at, finished=True), after, papers, issues

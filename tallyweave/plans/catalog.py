@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import entities, oracles, web
+from . import entities, oracles, store, web
 
-QUERIES = entities.QUERIES | web.QUERIES
-ORACLES = {name: getattr(oracles, name.upper()) for name in QUERIES if hasattr(oracles, name.upper())}
+QUERIES = entities.QUERIES | web.QUERIES | store.QUERIES
+ORACLES = {name: getattr(oracles, name.upper()) for name in QUERIES if hasattr(oracles, name.upper())} | store.ORACLES

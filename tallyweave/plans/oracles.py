@@ -45,7 +45,7 @@ c AS (SELECT n_name, count(*) AS candidates, count(*) FILTER (WHERE s_suppkey %
 e AS (SELECT name AS n_name, count(*) AS errors FROM (
     SELECT m.n_nationkey, arg_min(d.n_name, (CASE WHEN d.n_nationkey % 2 = 0 THEN 1 ELSE 3 END, d.n_name)) AS name
     FROM nation m JOIN nation d ON contains({_venue("'no rows for ' || m.n_name")}, {_venue('d.n_name')}) GROUP BY 1) GROUP BY 1)
-SELECT n.n_name AS journal_name, coalesce(papers, 0) AS papers, coalesce(openalex_papers, 0) AS openalex_papers, coalesce(crossref_papers, 0) AS crossref_papers, coalesce(merged_papers, 0) AS merged_papers,
+SELECT n.n_name AS journal_name, CASE WHEN n.n_nationkey % 2 = 0 THEN 'A+' ELSE 'A1' END AS achievement_level, coalesce(papers, 0) AS papers, coalesce(openalex_papers, 0) AS openalex_papers, coalesce(crossref_papers, 0) AS crossref_papers, coalesce(merged_papers, 0) AS merged_papers,
        coalesce(candidates, 0) AS candidates, coalesce(scored_candidates, 0) AS scored_candidates, coalesce(missing_author, 0) AS missing_author, coalesce(missing_affiliation, 0) AS missing_affiliation, coalesce(errors, 0) AS errors
 FROM nation n LEFT JOIN p USING (n_name) LEFT JOIN c USING (n_name) LEFT JOIN e USING (n_name)
 WHERE coalesce(papers, 0) + coalesce(candidates, 0) + coalesce(errors, 0) > 0
