@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import band, col, normalize_text, score_of, text_or_empty
+from .text import band, col, let, normalize_text, score_of, text_or_empty
 
 REASON_WORDS = 12
 #: A pattern that matches nothing.
@@ -37,7 +37,7 @@ def has_keyword(text: Column, keyword: str) -> Column:
     """Keyword between characters that are no ASCII letters or digits; other scripts match anywhere."""
     if not keyword.isascii():
         return text.contains(keyword)
-    return text.rlike(f"(?<![a-z0-9]){re.escape(keyword.lower())}(?![a-z0-9])")
+    return text.contains(keyword.lower()) & text.rlike(f"(?<![a-z0-9]){re.escape(keyword.lower())}(?![a-z0-9])")
 
 
 def matched(text: Column, keywords: Sequence[str]) -> Column:
@@ -92,17 +92,23 @@ def score_fields(fields: Mapping[str, tuple[Column | str, float]], lexicon: Lexi
 
 def score_text(texts: Sequence[Column | str], lexicon: Lexicon, accept: float = 0.6, review: float = 0.35) -> Column:
     """The same for one text: group weight * min(1, .55 + .15 * hits), negatives -.35 and -.15."""
+    lists = {**lexicon.groups, "hard negatives": lexicon.hard_negatives, "soft negatives": lexicon.soft_negatives}
+
+    def scored(hits: Column) -> Column:
+        parts, keywords = [], F.array().cast("array<string>")
+        for k, group in enumerate(lexicon.groups):
+            weight = number(lexicon.weights.get(group, 0.35))
+            n = F.size(hits[f"h{k}"])
+            parts.append(F.when(n > 0, weight * F.least(number(1), number(0.55) + number(0.15) * n)).otherwise(number(0)))
+            keywords = F.array_union(keywords, hits[f"h{k}"])
+        score = total(parts)
+        score -= F.when(F.size(hits[f"h{len(lists) - 2}"]) > 0, number(0.35)).otherwise(number(0))
+        score -= F.when(F.size(hits[f"h{len(lists) - 1}"]) > 0, number(0.15)).otherwise(number(0))
+        return let(F.struct(clamp(score).alias("score"), keywords.alias("keywords")), lambda x: result(x["score"], x["keywords"], accept, review))
+
     text = normalize_text(F.concat_ws(" ", *(text_or_empty(t) for t in texts)))
-    parts, keywords = [], F.array().cast("array<string>")
-    for group, words in lexicon.groups.items():
-        hits = matched(text, words)
-        weight = number(lexicon.weights.get(group, 0.35))
-        parts.append(F.when(F.size(hits) > 0, weight * F.least(number(1), number(0.55) + number(0.15) * F.size(hits))).otherwise(number(0)))
-        keywords = F.array_union(keywords, hits)
-    score = total(parts)
-    score -= F.when(F.size(matched(text, lexicon.hard_negatives)) > 0, number(0.35)).otherwise(number(0))
-    score -= F.when(F.size(matched(text, lexicon.soft_negatives)) > 0, number(0.15)).otherwise(number(0))
-    return result(clamp(score), keywords, accept, review)
+    found = let(text, lambda t: F.struct(*(matched(t, words).alias(f"h{k}") for k, words in enumerate(lists.values()))))
+    return let(found, scored)
 
 
 @dataclass(frozen=True)

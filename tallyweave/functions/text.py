@@ -5,7 +5,7 @@ Empty strings and nulls both mean "missing" throughout.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -157,3 +157,8 @@ def register_sql_functions(spark) -> None:
         "CREATE OR REPLACE TEMPORARY FUNCTION normalize_text_for_join(x STRING) RETURNS STRING "
         f"RETURN trim(regexp_replace(replace(lower(coalesce(x, '')), 'ß', 'ss'), '{pattern}', ' '))"
     )
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with the value computed once however often the body has it."""
+    return F.transform(F.array(value), body)[0]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import col, text_or_empty
+from .text import col, let, text_or_empty
 
 _PARTS = r"(?s)^https?://([^/?#]*)([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
 #: Word lists and scores of the link classifier (fixed values).
@@ -71,17 +71,22 @@ def same_site(a: Column | str, b: Column | str) -> Column:
 
 def classify_link(url: Column | str, anchor: Column | str) -> Column:
     """struct(kind, score) of a link by its address and anchor text."""
-    seen = F.lower(F.concat_ws(" ", col(url), text_or_empty(anchor)))
-    kind = (
-        F.when(path(url).rlike(STATIC_FILE) | seen.rlike(NOISE), "noise")
-        .when(seen.rlike(FACULTY), F.when(seen.rlike(PERSON), "faculty_candidate").otherwise("faculty_list"))
-        .when(seen.rlike(ORGANIZATION), "organization")
-        .otherwise("unknown")
-    )
-    in_field, score = seen.rlike(TARGET_FIELD), F.lit(None).cast("double")
-    for name, (base, boost, most) in LINK_SCORES.items():
-        score = F.when(kind == name, F.when(in_field, min(most, round(base + boost, 2))).otherwise(base)).otherwise(score)
-    return F.struct(kind.alias("kind"), score.cast("decimal(9,4)").alias("score"))
+    def judged(seen: Column) -> Column:
+        kind = (
+            F.when(path(url).rlike(STATIC_FILE) | seen.rlike(NOISE), "noise")
+            .when(seen.rlike(FACULTY), F.when(seen.rlike(PERSON), "faculty_candidate").otherwise("faculty_list"))
+            .when(seen.rlike(ORGANIZATION), "organization")
+            .otherwise("unknown")
+        )
+        return let(F.struct(kind.alias("kind"), seen.rlike(TARGET_FIELD).alias("in_field")), scored)
+
+    def scored(x: Column) -> Column:
+        score = F.lit(None).cast("double")
+        for name, (base, boost, most) in LINK_SCORES.items():
+            score = F.when(x["kind"] == name, F.when(x["in_field"], min(most, round(base + boost, 2))).otherwise(base)).otherwise(score)
+        return F.struct(x["kind"].alias("kind"), score.cast("decimal(9,4)").alias("score"))
+
+    return let(F.lower(F.concat_ws(" ", col(url), text_or_empty(anchor))), judged)
 
 
 def absolute_url(href: Column | str, base: Column | str) -> Column:

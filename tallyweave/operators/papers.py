@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..durability import kept
 from ..functions.lexicon import Lexicon, NameRules, score_name, score_text
 from ..functions.text import clean_text, distinct_folded, distinct_nonempty, extract_doi, first_issn, is_blank, level_key, normalize_doi, normalize_publication_name, normalize_text, nz, score_of, sorted_json, text_or_empty, tier_order, venue_variants
 
@@ -188,44 +191,55 @@ def gate(papers: DataFrame, lexicon: Lexicon, texts: Sequence[str] = ("title", "
 
 
 def attribute(messages: DataFrame, names: DataFrame, message: str, name: str, order: str, label: str | None = None) -> DataFrame:
-    """messages with the label of the first name (by `order`) that each normalised message contains.
+    """messages with the label of the first name (by `order`) that each normalised message contains, wherever it begins.
 
-    The names are a dimension of a bounded size (its bytes are checked before
-    it is broadcast); a larger one is joined on a piece of each name, wherever
-    in the message it stands. Both give the same rows.
+    The names are a dimension: their ranks come from one sort. Each message is
+    scanned once by an automaton over all names; names beyond DIMENSION_BYTES are
+    dealt to several automata of that size, one pass each, and the least rank
+    wins, so that no worker holds more and the rows are the same at every size.
     """
-    dim = names.select(F.col(label or name).alias("__name"), F.col(order).alias("__order"), normalize_publication_name(name).alias("__key")).filter("__key != ''")
-    keyed = messages.withColumn("__id", F.monotonically_increasing_id()).withColumn("__text", normalize_publication_name(message))
-    size = dim.agg(F.coalesce(F.sum(F.octet_length("__key") + 64), F.lit(0))).first()[0]
-    if size <= DIMENSION_BYTES:
-        pairs = keyed.select("__id", "__text").join(F.broadcast(dim), F.contains("__text", "__key"))
-    else:
-        coded = dim.join(rarest_grams(dim), "__key")
-        lengths = sorted(r[0] for r in coded.select(F.length("__gram")).distinct().collect())
-        grams = F.array_distinct(F.concat(*(grams_of("__text", n) for n in lengths)))
-        met = keyed.select("__id", F.explode(grams).alias("__gram")).join(coded, "__gram").drop("__gram")
-        pairs = keyed.select("__id", "__text").join(met, "__id").filter(F.contains("__text", "__key"))
-    best = pairs.groupBy("__id").agg(F.min_by("__name", F.struct("__order", "__name")).alias("attributed"))
-    return keyed.join(best, "__id", "left").drop("__id", "__text")
+    dim = names.select(F.col(label or name).alias("attributed"), F.col(order).alias("name_order"), normalize_publication_name(name).alias("name_key")).filter("name_key != ''")
+    dim = kept(dim.withColumn("name_rank", F.row_number().over(Window.orderBy("name_order", "attributed", "name_key")).cast("long")))
+    size = dim.agg(F.coalesce(F.sum(F.octet_length("name_key") + 64), F.lit(0))).first()[0]
+    slices = max(1, -(-size // DIMENSION_BYTES))
+    found = messages.withColumn("name_rank", F.lit(None).cast("long"))
+    for k in range(slices):
+        own = dim.filter(F.pmod(F.xxhash64("name_key"), F.lit(slices)) == k).groupBy("name_key").agg(F.min("name_rank").alias("name_rank"))
+        rank = first_name(found.sparkSession, {r.name_key: r.name_rank for r in own.collect()})
+        found = found.withColumn("name_rank", F.least("name_rank", rank(normalize_publication_name(message))))
+        if slices > 1:
+            found = kept(found)
+    return found.join(dim.select("name_rank", "attributed"), "name_rank", "left").drop("name_rank")
+
+
+#: UTF-8 bytes of names (and what goes with them) that one automaton may hold.
+DIMENSION_BYTES = 8 << 20
 
 
-DIMENSION_BYTES = 8 << 20
-#: Characters of the piece that a long name is joined on; shorter names are their own piece.
-GRAM = 8
+@lru_cache(maxsize=1)
+def name_automaton(names: tuple[tuple[str, int], ...]):
+    import ahocorasick
+
+    built = ahocorasick.Automaton()
+    for key, rank in names:
+        built.add_word(key, rank)
+    if names:
+        built.make_automaton()
+    return built
 
 
-def grams_of(text: str, n: int) -> Column:
-    """All pieces of n characters; none of a shorter text."""
-    starts = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - n + 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.substring(F.col(text), i, F.lit(n)))
+def first_name(spark: SparkSession, ranks: Mapping[str, int]):
+    """The least rank of the names that a text contains, as a function of columns; null if there is none."""
+    shared = spark.sparkContext.broadcast(tuple(ranks.items()))
 
+    @F.pandas_udf("long")
+    def rank(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        names = shared.value
+        automaton = name_automaton(names)
+        for batch in batches:
+            yield pd.Series([min((r for _, r in automaton.iter(t)), default=None) if names else None for t in batch], dtype="Int64")
 
-def rarest_grams(names: DataFrame) -> DataFrame:
-    """__key and __gram: of each distinct key the piece that the fewest keys have."""
-    own = F.when(F.length("__key") < GRAM, F.array("__key")).otherwise(F.array_distinct(grams_of("__key", GRAM)))
-    grams = names.select("__key").distinct().select("__key", F.explode(own).alias("__gram"))
-    times = grams.groupBy("__gram").agg(F.count(F.lit(1)).alias("__times"))
-    return grams.join(times, "__gram").groupBy("__key").agg(F.min_by("__gram", F.struct("__times", "__gram")).alias("__gram"))
+    return rank
 
 
 def collect_papers(works: DataFrame, journals: DataFrame, from_year: int, current_year: int, sources: Sequence[str] = ("openalex", "crossref"), broad_lexicon: Lexicon | None = None) -> tuple[DataFrame, DataFrame]:

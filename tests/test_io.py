@@ -54,3 +54,23 @@ def test_exports_keep_the_surveyed_columns(spark, tmp_path):
     assert (row.research_direction, row.updated_at) == ("graphs", "2024")
     assert {"created_at", "resolved_at"} <= set(writers.EXPORTS["issues"]) and {"raw_html_path", "fetched_at"} <= set(writers.EXPORTS["pages"])
     assert {"discipline_reason", "open_issue_source_urls"} <= set(writers.EXPORTS["people_review"]) and {"pub_journals", "resolved_issue_types"} <= set(writers.EXPORTS["review_queue"])
+
+
+def test_exports_have_their_exact_headers(spark, tmp_path):
+    assert {k: len(v) for k, v in writers.EXPORTS.items()} == {"papers": 17, "candidates": 14, "people_candidates": 20, "quality_report": 11, "people": 36, "pages": 13, "issues": 11, "people_review": 28, "review_queue": 42, "gap_report": 6, "school_seeds": 7, "school_entrypoints": 11}
+    rows = spark.createDataFrame([(7, "T", ["a", "b"], [("n",)])], "seq long, title string, affiliations array<string>, authors array<struct<name: string>>")
+    writers.export(rows, "papers", str(tmp_path / "papers"))
+    r = spark.read.option("header", True).option("escape", '"').csv(str(tmp_path / "papers")).first()
+    assert (r.id, r.title, r.affiliations_json, r.authors_json) == ("7", "T", '["a","b"]', '[{"name":"n"}]')
+
+
+def test_outputs_of_a_run(spark, tmp_path):
+    items = spark.createDataFrame([(4, "Omega"), (5, "Alpha")], "run_id long, journal_name string")
+    journals = spark.createDataFrame([("Omega", "A+"), ("Alpha", "A1")], "journal_name string, achievement_level string")
+    papers = spark.createDataFrame([("Omega", "openalex", "x", ["u"]), ("Alpha", "crossref", "", [])], "journal string, source string, first_author_name string, affiliations array<string>")
+    candidates = spark.createDataFrame([("A", "Omega", 0.9), ("B", "Alpha", 0.1)], "name string, journal string, name_rule_score double")
+    issues = spark.createDataFrame([("publication_source_error", "no papers for omega")], "issue_type string, message string")
+    got = writers.export_run(4, items, journals, papers, candidates, candidates, issues, str(tmp_path))
+    assert got == {"papers": 2, "publication_candidates": 2, "publication_candidates_named": 1, "publication_people_candidates": 2, "publication_quality_report": 2, "publication_quality_report_4": 1}
+    r = spark.read.option("header", True).csv(str(tmp_path / "publication_quality_report_4")).first()
+    assert (r.journal, r.achievement_level, r.openalex_count, r.source_errors) == ("Omega", "A+", "1", "1")

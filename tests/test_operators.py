@@ -122,7 +122,7 @@ def test_venue_match_and_collect(spark):
 def test_attribution_prefers_order(spark):
     names = spark.createDataFrame([("Science", 2), ("Management Science", 1)], "journal_name string, o int")
     rows = spark.createDataFrame([("no rows: MANAGEMENT  science!",), ("science failed",), ("none",)], "message string")
-    for size in (papers.DIMENSION_BYTES, 0):
+    for size in (papers.DIMENSION_BYTES, 150):
         old, papers.DIMENSION_BYTES = papers.DIMENSION_BYTES, size
         got = {r.message: r.attributed for r in papers.attribute(rows, names, "message", "journal_name", "o").collect()}
         papers.DIMENSION_BYTES = old
@@ -133,7 +133,7 @@ def test_attribution_inside_words(spark):
     names = spark.createDataFrame([("Science", 3), ("Art History", 1), ("journal", 4), ("io", 5), ("Mart", 2), ("%", 0)], "journal_name string, o int")
     want = {"bioscience journal": "Science", "smart history today": "Art History", "the smarter set": "Mart", "a radio": "io", "x": None, None: None}
     rows = spark.createDataFrame([(m,) for m in want], "message string")
-    for size in (papers.DIMENSION_BYTES, 0):
+    for size in (papers.DIMENSION_BYTES, 150):
         old, papers.DIMENSION_BYTES = papers.DIMENSION_BYTES, size
         try:
             got = {r.message: r.attributed for r in papers.attribute(rows, names, "message", "journal_name", "o").collect()}
