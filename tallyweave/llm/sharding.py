@@ -34,21 +34,37 @@ def by_shard(numbers: list[float]) -> Column:
     return F.element_at(F.array(*(F.lit(float(x)) for x in numbers)), F.col("shard") + 1)
 
 
-def loads(placed: DataFrame, n_shards: int) -> list[int]:
-    found = {r.shard: r.bytes for r in placed.groupBy("shard").agg(F.sum("size").alias("bytes")).collect()}
+def loads(placed: DataFrame, n_shards: int, size: str = "size") -> list[int]:
+    found = {r.shard: r.bytes for r in placed.groupBy("shard").agg(F.sum(size).alias("bytes")).collect()}
     return [found.get(s, 0) for s in range(n_shards)]
 
 
-def propagate(linked: DataFrame, free: list[float], buckets: int) -> DataFrame:
-    """One round: the links whose missing members fit move to their largest shard."""
-    tally = linked.groupBy("link", "shard").agg(F.sum("size").alias("held"))
-    total = tally.groupBy("link").agg(F.sum("held").alias("total"))
-    fitting = tally.join(total, "link").withColumn("missing", F.col("total") - F.col("held")).filter(F.col("missing") <= by_shard(free))
+def propagate(tally: DataFrame, free: list[float], buckets: int) -> DataFrame:
+    """One round: the links whose missing members fit move to their largest shard.
+
+    tally(link, origin, shard, held): bytes of a link by the shard that they
+    started in and the one they are in. No row of a document is moved in a round.
+    """
+    here = tally.groupBy("link", "shard").agg(F.sum("held").alias("held"))
+    total = here.groupBy("link").agg(F.sum("held").alias("total"))
+    fitting = here.join(total, "link").withColumn("missing", F.col("total") - F.col("held")).filter(F.col("missing") <= by_shard(free))
     best = fitting.groupBy("link").agg(F.max(F.struct("held", F.xxhash64("link", "shard").alias("tie"), "shard", "missing")).alias("best"))
     wanted = best.select("link", "best.shard", "best.missing").withColumn("bucket", F.pmod(F.xxhash64("link"), F.lit(buckets))).filter("missing > 0")
     dealt = before(wanted, ["shard"], "bucket", [F.col("link")], F.col("missing"), "earlier")
     moved = dealt.filter(F.col("earlier") + F.col("missing") <= by_shard(free)).select("link", F.col("shard").alias("to"))
-    return linked.join(moved, "link", "left").withColumn("shard", F.coalesce("to", "shard")).drop("to")
+    return tally.join(moved, "link", "left").withColumn("shard", F.coalesce("to", "shard")).drop("to")
+
+
+def cut_edges(docs: DataFrame, placed: DataFrame) -> DataFrame:
+    """One row: pairs of rows with an equal text (edges), and how many of them lie in two shards (cut).
+
+    placed: what `place_documents` gave for docs. Pairs are counted, not made.
+    """
+    texts = docs.filter("text is not null").select("doc_id", F.octet_length("text").alias("n"), F.crc32("text").alias("text_crc32"), F.md5("text").alias("link")).groupBy("doc_id", "n", "text_crc32").agg(F.min("link").alias("link"))
+    rows = placed.withColumn("n", (F.col("size") - ROW_BYTES).cast("int")).join(texts, ["doc_id", "n", "text_crc32"])
+    of_link = rows.groupBy("link", "shard").agg(F.count(F.lit(1)).alias("k")).groupBy("link").agg(F.sum("k").alias("all"), F.sum(F.col("k") * F.col("k")).alias("same"))
+    pairs = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return of_link.agg(pairs(F.expr("`all` * (`all` - 1) div 2")).alias("edges"), pairs(F.expr("(`all` * `all` - same) div 2")).alias("cut"))
 
 
 def level(placed: DataFrame, bytes_of: list[int], k: int, buckets: int) -> DataFrame:
@@ -106,10 +122,11 @@ def place_documents(docs: DataFrame, n_shards: int = SHARDS) -> DataFrame:
     placed = rows.join(groups, "link", "left").withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(n_shards)).cast("int"))
     piece = F.concat_ws("-", F.col("link"), F.pmod(F.xxhash64("doc_id", F.lit("piece")), pieces))
     placed = durable(placed.withColumn("link", F.when(F.col("n") > 1, piece)).withColumn("is_linked", F.col("link").isNotNull()).drop("bytes", "n"))
-    alone, linked = placed.filter("not is_linked"), placed.filter("is_linked")
+    alone, linked = placed.filter("not is_linked"), placed.filter("is_linked").withColumnRenamed("shard", "origin")
+    tally = durable(linked.groupBy("link", "origin").agg(F.sum("size").alias("held")).withColumn("shard", F.col("origin")))
     for _ in range(PROPAGATIONS):
-        linked = durable(propagate(linked, [mean * FILL - b for b in loads(linked, n_shards)], buckets))
-    placed = alone.unionByName(linked.select(*placed.columns))
+        tally = durable(propagate(tally, [mean * FILL - b for b in loads(tally, n_shards, "held")], buckets))
+    placed = alone.unionByName(linked.join(tally.select("link", "origin", "shard"), ["link", "origin"]).select(*placed.columns))
     for k in range(BALANCINGS):
         bytes_of = loads(placed, n_shards)
         if max(abs(b - mean) for b in bytes_of) <= mean * TOLERANCE:

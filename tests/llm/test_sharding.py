@@ -14,7 +14,16 @@ def test_balance_groups_and_slots(spark):
     rows += [(2000 + 2 * g + k, f"pair {g} " * 5) for g in range(60) for k in range(2)]
     rows += [(None, None), (None, "x"), (5, None), (3, rows[3][1]), (9000, "long " * 600)]
     docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, shard int").repartition(5)
-    out = S.place_documents(docs, n_shards=8).collect()
+    placed = S.place_documents(docs, n_shards=8).cache()
+    out = placed.collect()
+    told = S.cut_edges(docs, placed).first()
+    shards_of = defaultdict(list)
+    for r in out:
+        if r["size"] > 16 or r.text_crc32:
+            shards_of[r.text_crc32, r["size"]].append(r.shard)
+    edges = [(a, b) for own in shards_of.values() for i, a in enumerate(own) for b in own[:i]]
+    assert (told.edges, told.cut) == (len(edges), sum(a != b for a, b in edges))
+    assert told.cut < 0.6 * told.edges  # by key alone seven in eight would be cut
     want = sorted((i is None, i or 0, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t in rows)
     assert sorted((r.doc_id is None, r.doc_id or 0, r["size"], r.text_crc32) for r in out) == want
     size, slots, groups = defaultdict(int), defaultdict(list), defaultdict(set)
