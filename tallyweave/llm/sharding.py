@@ -2,9 +2,9 @@
 
 Balanced label propagation on DataFrames alone: every document starts in a
 shard given by its key, then rounds of joins move the documents of a link to
-the shard that holds most of it, as far as that shard's quota of bytes allows,
-and further rounds move unlinked documents (linked ones only where these do not
-suffice) from shards above the mean to shards below it. Quotas are dealt by
+the shard that holds most of it, as far as that shard's quota of bytes allows.
+Further rounds even the shards out: unlinked documents move first, then whole
+links, and single documents of links only where these do not suffice. Quotas are dealt by
 running sums in two levels, so that no task needs a whole shard or link. Only
 one number a shard ever reaches the driver.
 """
@@ -20,10 +20,10 @@ SHARDS = 40
 ROW_BYTES = 16
 #: A link of more than this share of a shard's mean size is dealt in pieces.
 LARGEST_PIECE = 0.5
-#: Propagation may fill a shard with linked documents up to this share of the mean; balancing then moves unlinked ones out.
-FILL = 1.0
-PROPAGATIONS = 3
-BALANCINGS = 12
+#: Propagation may fill a shard with linked documents up to this share of the mean; balancing then moves others out.
+FILL = 1.25
+#: Rounds end when one lessens what they are to lessen by a smaller share than this; balancing allows so many of them in a row.
+LEAST_GAIN, IDLE_ROUNDS = 0.05, 3
 #: Balancing ends when no shard is further from the mean than this share of it.
 TOLERANCE = 0.001
 BUCKET_ROWS = 4096
@@ -55,6 +55,12 @@ def propagate(tally: DataFrame, free: list[float], buckets: int) -> DataFrame:
     return tally.join(moved, "link", "left").withColumn("shard", F.coalesce("to", "shard")).drop("to")
 
 
+def parted(tally: DataFrame) -> int:
+    """Bytes of links that are not in the shard which holds most of their link."""
+    here = tally.groupBy("link", "shard").agg(F.sum("held").alias("held")).groupBy("link").agg((F.sum("held") - F.max("held")).alias("away"))
+    return here.agg(F.coalesce(F.sum("away"), F.lit(0))).first()[0]
+
+
 def cut_edges(docs: DataFrame, placed: DataFrame) -> DataFrame:
     """One row: pairs of rows with an equal text (edges), and how many of them lie in two shards (cut).
 
@@ -76,9 +82,9 @@ def level(placed: DataFrame, bytes_of: list[int], k: int, buckets: int) -> DataF
     over = [max(0.0, b - mean) for b in bytes_of]
     gaps = [(s, mean - b) for s, b in enumerate(bytes_of) if b < mean]
     size_class = 999 - F.floor(F.log2("size") * 8) if k % 2 else F.lit(0)
-    order = (F.col("is_linked").cast("int") * 1000 + size_class) * buckets + F.pmod(F.xxhash64("doc_id", F.lit(k)), F.lit(buckets))
+    order = (F.col("is_linked").cast("int") * 1000 + size_class) * buckets + F.pmod(F.xxhash64("doc_id", "link", F.lit(k)), F.lit(buckets))
     giving = placed.filter(by_shard(over) >= F.col("size")).withColumn("bucket", order)
-    giving = before(giving, ["shard"], "bucket", [F.xxhash64("doc_id", F.lit(k)), F.col("doc_id")], F.col("size"), "earlier")
+    giving = before(giving, ["shard"], "bucket", [F.xxhash64("doc_id", "link", F.lit(k)), F.col("doc_id")], F.col("size"), "earlier")
     given = giving.withColumn("given", F.col("earlier") + F.col("size") <= by_shard(over))
     # released bytes of all shards in a row, laid over the receivers' gaps in a row
     starts, at = [], 0.0
@@ -97,13 +103,27 @@ def level(placed: DataFrame, bytes_of: list[int], k: int, buckets: int) -> DataF
     return kept.unionByName(moved.select(*placed.columns))
 
 
+def levelled(placed: DataFrame, n_shards: int, mean: float, buckets: int) -> DataFrame:
+    """placed after rounds of `level`, until sizes are within TOLERANCE or rounds gain nothing more."""
+    least, idle, k = float("inf"), 0, 0
+    while True:
+        bytes_of = loads(placed, n_shards)
+        off = max(abs(b - mean) for b in bytes_of)
+        idle = idle + 1 if off > least * (1 - LEAST_GAIN) else 0
+        if off <= mean * TOLERANCE or idle == IDLE_ROUNDS:
+            return placed
+        least = min(least, off)
+        placed = durable(level(placed, bytes_of, k, buckets))
+        k += 1
+
+
 def place_documents(docs: DataFrame, n_shards: int = SHARDS) -> DataFrame:
     """doc_id, size, text_crc32, shard and slot of every row of docs(doc_id, text).
 
     Documents of equal text are linked. size is the text's UTF-8 bytes and 16;
     a null text has no bytes, crc32 0 and no links. Sizes of shards end up near
-    equal (within TOLERANCE of the mean, or about one of the smallest rows); a
-    link larger than LARGEST_PIECE of a shard is split. Slots count from 0
+    equal (within TOLERANCE of the mean, or as near as rounds that still gain
+    bring them); a link larger than LARGEST_PIECE of a shard is split. Slots count from 0
     without gaps in each shard. Repeated rows are placed one by one; an empty
     table gives no rows.
     """
@@ -124,14 +144,19 @@ def place_documents(docs: DataFrame, n_shards: int = SHARDS) -> DataFrame:
     placed = durable(placed.withColumn("link", F.when(F.col("n") > 1, piece)).withColumn("is_linked", F.col("link").isNotNull()).drop("bytes", "n"))
     alone, linked = placed.filter("not is_linked"), placed.filter("is_linked").withColumnRenamed("shard", "origin")
     tally = durable(linked.groupBy("link", "origin").agg(F.sum("size").alias("held")).withColumn("shard", F.col("origin")))
-    for _ in range(PROPAGATIONS):
+    away, was = parted(tally), None
+    while away and (was is None or away <= was * (1 - LEAST_GAIN)):
         tally = durable(propagate(tally, [mean * FILL - b for b in loads(tally, n_shards, "held")], buckets))
-    placed = alone.unionByName(linked.join(tally.select("link", "origin", "shard"), ["link", "origin"]).select(*placed.columns))
-    for k in range(BALANCINGS):
-        bytes_of = loads(placed, n_shards)
-        if max(abs(b - mean) for b in bytes_of) <= mean * TOLERANCE:
-            break
-        placed = durable(level(placed, bytes_of, k, buckets))
+        away, was = parted(tally), away
+    # a unit is a document without links, or what one shard holds of a link
+    held = tally.groupBy("link", F.col("shard").alias("home")).agg(F.sum("held").alias("size"))
+    units = alone.withColumn("home", F.col("shard")).unionByName(held.withColumn("shard", F.col("home")).withColumn("is_linked", F.lit(True)), allowMissingColumns=True)
+    units = levelled(units, n_shards, mean, buckets)
+    homes = units.filter("is_linked").select("link", "home", "shard")
+    to = tally.select("link", "origin", F.col("shard").alias("home")).join(homes, ["link", "home"]).select("link", "origin", "shard")
+    columns = placed.columns
+    placed = units.filter("not is_linked").select(*columns).unionByName(linked.join(to, ["link", "origin"]).select(*columns))
+    placed = levelled(placed, n_shards, mean, buckets)
     placed = placed.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)))
     slotted = before(placed, ["shard"], "bucket", [F.col("doc_id"), F.col("text_crc32")], F.lit(1), "slot")
     return slotted.select("doc_id", "size", "text_crc32", "shard", F.col("slot").cast("long").alias("slot"))

@@ -38,6 +38,18 @@ def test_balance_groups_and_slots(spark):
     assert sum(len(p) > 1 for p in pairs) <= 0.1 * len(pairs)
 
 
+def test_pairs_only_stay_together(spark):
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("abcdef ", k=rng.randint(40, 400))) for _ in range(1500)]
+    rows = [(2 * i + k, t) for i, t in enumerate(texts) for k in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    placed = S.place_documents(docs, n_shards=8).cache()
+    told = S.cut_edges(docs, placed).first()
+    size = S.loads(placed, 8)
+    assert told.edges == 1500 and told.cut <= 0.02 * told.edges
+    assert sum(size) == sum(len(t) + 16 for _, t in rows) and max(abs(v - sum(size) / 8) for v in size) < 0.005 * sum(size) / 8
+
+
 def test_native_plan_small_and_empty(spark):
     docs = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string")
     out = S.place_documents(docs)
