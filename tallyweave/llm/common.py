@@ -18,19 +18,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in the cluster's shared checkpoint folder.
+def kept_folder(spark: SparkSession) -> str:
+    """The session's folder for kept rows, which driver and executors share.
 
-    The shuffle files that led to it are removed then. Without
-    spark.checkpoint.dir a local session gets a folder of its own; a cluster,
-    where no such folder would be shared, is refused.
+    Without spark.checkpoint.dir a local session gets a folder of its own; a
+    cluster, where no such folder would be shared, is refused.
     """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
-        if not shared and not spark.sparkContext.master.startswith("local"):
+        if not shared and not context.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="spark-"))
+        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="spark-"))
+    return context.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """df, computed once and kept in the shared checkpoint folder; the shuffle files that led to it are removed then."""
+    spark = df.sparkSession
+    kept_folder(spark)
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:
