@@ -1,16 +1,18 @@
 """From raw documents to shards of a training mix, in five stages.
 
 Each stage takes what its predecessor kept; all but the last return the
-columns of `documents`. Between stages the rows are kept in the shared
-checkpoint folder, so a lost executor costs one stage at most.
+columns of `documents`. Between stages the rows are written as Parquet in the
+shared checkpoint folder, so a lost executor costs one stage at most.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyweave.llm import toxicity
-from tallyweave.llm.common import durable, free_name, table
+from tallyweave.llm.common import free_name, kept_folder, table
 from tallyweave.llm.decontaminate import is_contaminated, scan_documents
 from tallyweave.llm.jaccard_join import one_of_each
 from tallyweave.llm.mixing import mixed_documents
@@ -73,6 +75,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = durable(stage(spark, docs, sf_dir))
+    folder = f"{kept_folder(spark)}/pipeline-{uuid.uuid4()}"
+    for name, stage in STAGES[:-1]:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
