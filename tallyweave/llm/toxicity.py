@@ -26,7 +26,7 @@ FOLDS = 5
 PREFIXES = (4, 5, 6)
 #: A feature is kept if so many confirmed texts have it, so many standard errors more often than unlabelled ones.
 LEAST_TEXTS, LEAST_Z = 4, 5.0
-EPOCHS, BATCHES, RATE, DECAY = 120, 2, 0.05, 5e-6
+EPOCHS, BATCHES, RATE, DECAY = 120, 2, 0.05, 5e-5
 #: Tokens whose features are remembered at a time by one Python worker.
 REMEMBERED = 400_000
 
