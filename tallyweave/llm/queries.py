@@ -12,6 +12,7 @@ from .decontaminate import is_contaminated, scan_documents
 from .jaccard_join import near_duplicates
 from .mixing import mix
 from .neighbours import nearest
+from .packing import pack
 from .sharding import place_documents
 from .token_counts import encoded_length, length_histogram
 from .url_filters import judge_urls
@@ -88,3 +89,8 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(table(spark, sf_dir, "documents"))
+
+
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
