@@ -53,6 +53,14 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def finite_vectors(vectors: DataFrame, *keep: str) -> DataFrame:
+    """`keep` and embedding (doubles) of the rows whose vector has only finite entries and the commonest length, which is not 0."""
+    finite = lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf"))
+    v = vectors.select(*keep, F.col("embedding").cast("array<double>").alias("embedding")).filter(F.forall("embedding", finite) & (F.size("embedding") > 0))
+    length = v.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).limit(1).collect()
+    return v.filter(F.size("embedding") == (length[0]["n"] if length else 0))
+
+
 def fold(id_column: str, n: int) -> Column:
     """crc32 of the id as text, modulo n (a null id counts as the empty text)."""
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit(""))) % n

@@ -9,6 +9,7 @@ from . import language_id, toxicity
 from .common import fold, table
 from .context_mixing import score_texts
 from .decontaminate import is_contaminated, scan_documents
+from .hard_negatives import mine
 from .jaccard_join import near_duplicates
 from .mixing import mix
 from .neighbours import nearest
@@ -16,6 +17,7 @@ from .packing import pack
 from .sharding import place_documents
 from .token_counts import encoded_length, length_histogram
 from .url_filters import judge_urls
+from .whitening import whiten
 
 #: (host, path, verdict) of the production rule list.
 URL_RULES = [
@@ -94,3 +96,14 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of ids that 7 divides are set one further, so that they disagree with their neighbours."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    mined = mine(table(spark, sf_dir, "embeddings").withColumn("label", moved))
+    return mined.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
