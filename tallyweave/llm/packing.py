@@ -16,9 +16,14 @@ window of gaps, is cut at powers of two, which need no padding.
 
 from __future__ import annotations
 
+import os
+import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -36,10 +41,14 @@ WINDOW = 2048
 END = 1
 #: Windows with fewer free places than this stay as they are.
 LEAST_GAP = 16
-#: Texts that a task encodes before it hands the pieces on, in characters.
-CHARS_TOGETHER = 4 << 20
-#: Encoded words that a task remembers, and the longest of them in bytes.
-WORDS_KEPT, LONGEST_KEPT = 400_000, 40
+#: Texts that a task encodes together, in characters.
+CHARS_TOGETHER = 1 << 20
+#: Encoded words that a worker remembers (some 200 bytes each), and the longest of them in bytes.
+WORDS_KEPT, LONGEST_KEPT = 1_200_000, 40
+#: Punctuation that is a token of its own after a letter or digit.
+CLOSING = b".,;:!?"
+#: Words of letters with one code point each, which the tokenizer takes as one piece.
+LETTERS = re.compile("[a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 RULE = "of int, low long, high long, at int, size int, window long, each int, place int"
 
 
@@ -246,36 +255,62 @@ def plan(counts: dict[int, int], window: int = WINDOW, least_gap: int = LEAST_GA
 class WordIds:
     """Token ids of texts as little-endian 32-bit bytes.
 
-    The tokenizer drops white space and no token crosses it, so words are
-    encoded by themselves and frequent ones once.
+    The tokenizer lowers letters, drops white space and lets no token cross it,
+    so words are encoded by themselves, and those met before are looked up.
     """
 
     def __init__(self, tokenizer: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.encoder = Tokenizer.from_str(tokenizer)
+        self.model = self.encoder.model
+        spelled = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.spelling = {ord(c): spelled.pre_tokenize_str(c)[0][0] for c in map(chr, range(128, 256)) if LETTERS.fullmatch(c)}
         self.known: dict[bytes, bytes] = {}
 
-    def _encode(self, word: bytes) -> bytes:
-        return b"".join(i.to_bytes(4, "little") for i in self.encoder.encode(word.decode(), add_special_tokens=False).ids)
-
-    def ids(self, text: str) -> bytes:
-        words, known = text.encode().split(), self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            pass
-        out = []
+    def encoded(self, words: list[str]) -> Iterator[list[int]]:
+        """Ids of each word; those of Latin letters alone, which nothing normalises but the lowering, go straight to the model."""
+        others = iter(self.encoder.encode_batch_fast([w for w in words if not LETTERS.fullmatch(w)], add_special_tokens=False))
         for w in words:
-            found = known.get(w)
-            if found is None:
-                found = self._encode(w)
-                if len(w) <= LONGEST_KEPT:
-                    if len(known) >= WORDS_KEPT:
-                        known.clear()
-                    known[w] = found
-            out.append(found)
-        return b"".join(out)
+            yield [x.id for x in self.model.tokenize(w.lower().translate(self.spelling))] if LETTERS.fullmatch(w) else next(others).ids
+
+    def learn(self, words: set[bytes]) -> None:
+        """Encodes words; closing punctuation after an ASCII letter or digit is a word of its own."""
+        whole, parted = set(), []
+        for word in words:
+            stem = word.rstrip(CLOSING)
+            if len(stem) < len(word) and stem[-1:].isalnum():
+                parted.append((word, stem, word[len(stem) :]))
+                whole.update((stem, word[len(stem) :]))
+            else:
+                whole.add(word)
+        todo = list(whole.difference(self.known))
+        for word, found in zip(todo, self.encoded([w.decode() for w in todo]), strict=True):
+            self.known[word] = array("I", found).tobytes()
+        for word, stem, closing in parted:
+            self.known[word] = self.known[stem] + self.known[closing]
+
+    def ids(self, texts: list[str | None]) -> list[bytes]:
+        # a mark like <|endoftext|> is one token only as it is written
+        cut = [x.split() if b"<|" in x else x.lower().split() for x in ((t or "").encode() for t in texts)]
+        words = set(chain.from_iterable(cut))
+        if len(self.known) + len(words) > WORDS_KEPT:
+            self.known.clear()
+        self.learn(words.difference(self.known))
+        found = {w: self.known[w] for w in words}
+        out = [b"".join(map(found.__getitem__, own)) for own in cut]
+        for word in [w for w in words if len(w) > LONGEST_KEPT]:
+            self.known.pop(word, None)
+            self.known.pop(word.rstrip(CLOSING), None)
+        return out
+
+
+@lru_cache(maxsize=1)
+def word_ids(tokenizer: str) -> WordIds:
+    """One for all tasks of a worker."""
+    return WordIds(tokenizer)
 
 
 def in_slices(batch: pa.RecordBatch, chars: int) -> Iterator[pa.RecordBatch]:
@@ -305,12 +340,12 @@ def encoded(docs: DataFrame, tokenizer_path: str = TOKENIZER, window: int = WIND
     kinds = (pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.int64())
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, part = WordIds(shared.value), TaskContext.get().partitionId()
+        words, part = word_ids(shared.value), TaskContext.get().partitionId()
         seen: Counter[int] = Counter()
         for batch in (own for whole in batches for own in in_slices(whole, CHARS_TOGETHER)):
             rows, columns = [], [[] for _ in names]
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                ids = words.ids(text or "") + mark
+            for i, ids in enumerate(words.ids(batch.column("text").to_pylist())):
+                ids += mark
                 total = len(ids) // 4
                 for start in range(0, total, window):
                     length = min(window, total - start)

@@ -63,6 +63,20 @@ def test_gaps_are_filled(counts):
     assert padding(counts, P.WINDOW, P.LEAST_GAP) <= 0.005 * total
 
 
+def test_words_are_encoded_as_in_their_text():
+    rng = random.Random(11)
+    letters = [*"aAbZ'0 9\t\n\x0b\x1c\x85\xa0é\u0301\u0338ΣσİßÅ\u212b漢한<|>.,;:!?-=", "<|endoftext|>", "<|ENDOFTEXT|>", "'ll", "'S", "it's,", "\u2028", "\u200b"]
+    encoder, words = Tokenizer.from_file(P.TOKENIZER), P.WordIds(open(P.TOKENIZER, encoding="utf-8").read())
+    texts = ["".join(rng.choices(letters, k=rng.randint(0, 16))) for _ in range(20_000)]
+    texts += ["".join(rng.choices([*"abcDE", *map(chr, range(0xC0, 0x100))], k=6)) for _ in range(5_000)]
+    texts += ["a" * 500 + " b", "a" * 500 + ","]
+    for at in range(0, len(texts), 999):
+        some = texts[at : at + 999]
+        for text, found in zip(some, words.ids(some), strict=True):
+            assert np.frombuffer(found, "<u4").tolist() == encoder.encode(text, add_special_tokens=False).ids, text
+    assert max(map(len, words.known)) <= P.LONGEST_KEPT
+
+
 def packed(spark, rows, **options):
     docs = spark.createDataFrame([(i, t, "mine", 7) for i, t in rows], "doc_id long, text string, ids string, rank int").repartition(3)
     return P.pack(docs, **options).withColumn("crc", F.crc32("ids"))
