@@ -53,10 +53,12 @@ FROM doc_words LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc
 
 OP9_MIXING = r"""
 WITH sized AS (
-    SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, count(*) AS copies,
-           substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':mix-1'), 1, 16) AS shuffled
-    FROM documents GROUP BY ALL),
-sources AS (SELECT source, CAST(sum(size * copies) AS BIGINT) AS source_size FROM sized GROUP BY source),
+    SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, md5(coalesce(text, '')) AS digest,
+           row_number() OVER (PARTITION BY doc_id, source, md5(coalesce(text, ''))) AS copy
+    FROM documents),
+shuffled AS (
+    SELECT *, substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || digest || ':' || copy || ':mix-1'), 1, 16) AS place FROM sized),
+sources AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
 ranked AS (SELECT *, row_number() OVER (ORDER BY source ASC NULLS LAST) AS rnk FROM sources),
 weighed AS (SELECT *, CASE (rnk - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS weight FROM ranked),
 held AS (
@@ -68,17 +70,14 @@ levels AS (
 targets AS (
     SELECT source, source_size, rnk, coalesce(least(CAST(2 * source_size AS DOUBLE), max(CASE WHEN lev <= hold_at THEN lev END) OVER () * weight), CAST(2 * source_size AS DOUBLE)) AS target FROM levels),
 queued AS (
-    SELECT s.*, t.source_size, t.rnk, t.target, s.size * s.copies AS words,
-           CAST(sum(s.size * s.copies) OVER (PARTITION BY t.rnk ORDER BY shuffled, doc_id, size) AS BIGINT) AS upto
-    FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+    SELECT row_number() OVER () AS n, s.*, t.source_size, t.rnk, t.target,
+           CAST(sum(s.size) OVER (PARTITION BY t.rnk ORDER BY place, doc_id, size) AS BIGINT) AS upto
+    FROM shuffled s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
 entries AS (
-    SELECT *, CAST(upto + epoch * source_size AS DOUBLE) / target AS finish
-    FROM queued, (VALUES (0), (1)) AS e(epoch) WHERE words > 0),
-mixed AS (
-    SELECT *, sum(words) OVER (ORDER BY finish, rnk, epoch, shuffled, doc_id, size) AS total FROM entries WHERE finish <= 2),
-times AS (
-    SELECT doc_id, source, size, count(*) AS n FROM mixed WHERE total <= (SELECT sum(target) FROM targets) GROUP BY ALL)
-SELECT q.doc_id, q.size, q.source_size, q.target, CAST(coalesce(n, 0) * q.size AS BIGINT) AS taken
-FROM queued q LEFT JOIN times t ON q.doc_id IS NOT DISTINCT FROM t.doc_id AND q.source IS NOT DISTINCT FROM t.source AND q.size = t.size,
-     unnest(range(q.copies))
+    SELECT n, size, rnk, epoch, CAST(upto + epoch * source_size AS DOUBLE) / target AS finish
+    FROM queued, (VALUES (0), (1)) AS e(epoch) WHERE size > 0),
+mixed AS (SELECT *, sum(size) OVER (ORDER BY finish, rnk, epoch) AS total FROM entries),
+times AS (SELECT n, count(*) AS k FROM mixed WHERE total <= (SELECT sum(target) FROM targets) GROUP BY n)
+SELECT doc_id, size, source_size, target, CAST(coalesce(k, 0) * size AS BIGINT) AS taken
+FROM queued LEFT JOIN times USING (n)
 """

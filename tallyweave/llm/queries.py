@@ -54,8 +54,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    each = plan.withColumn("copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
-    return each.select("doc_id", "size", "source_size", "target", (F.col("times") * F.col("size")).alias("taken"))
+    return plan.select("doc_id", "size", "source_size", "target", (F.col("times") * F.col("size")).alias("taken"))
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
