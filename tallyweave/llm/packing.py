@@ -23,7 +23,6 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
-from itertools import chain
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -41,8 +40,8 @@ WINDOW = 2048
 END = 1
 #: Windows with fewer free places than this stay as they are.
 LEAST_GAP = 16
-#: Texts that a task encodes together, in characters.
-CHARS_TOGETHER = 1 << 20
+#: Characters of the texts whose pieces a task hands on together.
+CHARS_TOGETHER = 4 << 20
 #: Encoded words that a worker remembers (some 200 bytes each), and the longest of them in bytes.
 WORDS_KEPT, LONGEST_KEPT = 1_200_000, 40
 #: Punctuation that is a token of its own after a letter or digit.
@@ -252,14 +251,15 @@ def plan(counts: dict[int, int], window: int = WINDOW, least_gap: int = LEAST_GA
 # -- encoding ----------------------------------------------------------------------------------
 
 
-class WordIds:
-    """Token ids of texts as little-endian 32-bit bytes.
+class WordIds(dict):
+    """Token ids of words as little-endian 32-bit bytes, encoded when first asked for.
 
     The tokenizer lowers letters, drops white space and lets no token cross it,
-    so words are encoded by themselves, and those met before are looked up.
+    so a text's ids are those of its words.
     """
 
     def __init__(self, tokenizer: str) -> None:
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
@@ -268,43 +268,29 @@ class WordIds:
         self.model = self.encoder.model
         spelled = ByteLevel(add_prefix_space=False, use_regex=False)
         self.spelling = {ord(c): spelled.pre_tokenize_str(c)[0][0] for c in map(chr, range(128, 256)) if LETTERS.fullmatch(c)}
-        self.known: dict[bytes, bytes] = {}
-
-    def encoded(self, words: list[str]) -> Iterator[list[int]]:
-        """Ids of each word; those of Latin letters alone, which nothing normalises but the lowering, go straight to the model."""
-        others = iter(self.encoder.encode_batch_fast([w for w in words if not LETTERS.fullmatch(w)], add_special_tokens=False))
-        for w in words:
-            yield [x.id for x in self.model.tokenize(w.lower().translate(self.spelling))] if LETTERS.fullmatch(w) else next(others).ids
-
-    def learn(self, words: set[bytes]) -> None:
-        """Encodes words; closing punctuation after an ASCII letter or digit is a word of its own."""
-        whole, parted = set(), []
-        for word in words:
-            stem = word.rstrip(CLOSING)
-            if len(stem) < len(word) and stem[-1:].isalnum():
-                parted.append((word, stem, word[len(stem) :]))
-                whole.update((stem, word[len(stem) :]))
-            else:
-                whole.add(word)
-        todo = list(whole.difference(self.known))
-        for word, found in zip(todo, self.encoded([w.decode() for w in todo]), strict=True):
-            self.known[word] = array("I", found).tobytes()
-        for word, stem, closing in parted:
-            self.known[word] = self.known[stem] + self.known[closing]
-
-    def ids(self, texts: list[str | None]) -> list[bytes]:
+
+    def __missing__(self, word: bytes) -> bytes:
+        stem = word.rstrip(CLOSING)
+        if len(stem) < len(word) and stem[-1:].isalnum():
+            found = self[stem] + self[word[len(stem) :]]
+        else:
+            found = array("I", self.encoded(word.decode())).tobytes()
+        if len(word) <= LONGEST_KEPT:
+            if len(self) >= WORDS_KEPT:
+                self.clear()
+            self[word] = found
+        return found
+
+    def encoded(self, word: str) -> list[int]:
+        """A word of Latin letters alone, which nothing normalises but the lowering, goes straight to the model."""
+        if LETTERS.fullmatch(word):
+            return [x.id for x in self.model.tokenize(word.lower().translate(self.spelling))]
+        return self.encoder.encode(word, add_special_tokens=False).ids
+
+    def ids(self, text: str | None) -> bytes:
         # a mark like <|endoftext|> is one token only as it is written
-        cut = [x.split() if b"<|" in x else x.lower().split() for x in ((t or "").encode() for t in texts)]
-        words = set(chain.from_iterable(cut))
-        if len(self.known) + len(words) > WORDS_KEPT:
-            self.known.clear()
-        self.learn(words.difference(self.known))
-        found = {w: self.known[w] for w in words}
-        out = [b"".join(map(found.__getitem__, own)) for own in cut]
-        for word in [w for w in words if len(w) > LONGEST_KEPT]:
-            self.known.pop(word, None)
-            self.known.pop(word.rstrip(CLOSING), None)
-        return out
+        raw = (text or "").encode()
+        return b"".join(map(self.__getitem__, (raw if b"<|" in raw else raw.lower()).split()))
 
 
 @lru_cache(maxsize=1)
@@ -344,8 +330,8 @@ def encoded(docs: DataFrame, tokenizer_path: str = TOKENIZER, window: int = WIND
         seen: Counter[int] = Counter()
         for batch in (own for whole in batches for own in in_slices(whole, CHARS_TOGETHER)):
             rows, columns = [], [[] for _ in names]
-            for i, ids in enumerate(words.ids(batch.column("text").to_pylist())):
-                ids += mark
+            for i, text in enumerate(batch.column("text").to_pylist()):
+                ids = words.ids(text) + mark
                 total = len(ids) // 4
                 for start in range(0, total, window):
                     length = min(window, total - start)
