@@ -4,13 +4,17 @@ Balanced label propagation on DataFrames alone: every document starts in a
 shard given by its key, then rounds of joins move the documents of a link to
 the shard that holds most of it, as far as that shard's quota of bytes allows.
 Further rounds even the shards out: unlinked documents move first, then whole
-links, and single documents of links only where these do not suffice. Quotas are dealt by
+links, and single documents of links only where these do not suffice. A
+document that is larger than a shard's share has a shard for itself; the others
+are evened out over the rest. Quotas are dealt by
 running sums in two levels, so that no task needs a whole shard or link. Only
 one number a shard ever reaches the driver.
 """
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,9 +86,9 @@ def level(placed: DataFrame, bytes_of: list[int], k: int, buckets: int) -> DataF
     over = [max(0.0, b - mean) for b in bytes_of]
     gaps = [(s, mean - b) for s, b in enumerate(bytes_of) if b < mean]
     size_class = 999 - F.floor(F.log2("size") * 8) if k % 2 else F.lit(0)
-    order = (F.col("is_linked").cast("int") * 1000 + size_class) * buckets + F.pmod(F.xxhash64("doc_id", "link", F.lit(k)), F.lit(buckets))
+    order = (F.col("is_linked").cast("int") * 1000 + size_class) * buckets + F.pmod(F.xxhash64("row", "link", F.lit(k)), F.lit(buckets))
     giving = placed.filter(by_shard(over) >= F.col("size")).withColumn("bucket", order)
-    giving = before(giving, ["shard"], "bucket", [F.xxhash64("doc_id", "link", F.lit(k)), F.col("doc_id")], F.col("size"), "earlier")
+    giving = before(giving, ["shard"], "bucket", [F.xxhash64("row", "link", F.lit(k)), F.col("row")], F.col("size"), "earlier")
     given = giving.withColumn("given", F.col("earlier") + F.col("size") <= by_shard(over))
     # released bytes of all shards in a row, laid over the receivers' gaps in a row
     starts, at = [], 0.0
@@ -104,26 +108,45 @@ def level(placed: DataFrame, bytes_of: list[int], k: int, buckets: int) -> DataF
 
 
 def levelled(placed: DataFrame, n_shards: int, mean: float, buckets: int) -> DataFrame:
-    """placed after rounds of `level`, until sizes are within TOLERANCE or rounds gain nothing more."""
+    """placed after rounds of `level`, until sizes are within TOLERANCE or rounds gain nothing more.
+
+    What rounds gain is judged by the bytes that are over the mean in all
+    shards together, so that one shard that can't be mended doesn't end the
+    work on the others.
+    """
     least, idle, k = float("inf"), 0, 0
     while True:
         bytes_of = loads(placed, n_shards)
-        off = max(abs(b - mean) for b in bytes_of)
-        idle = idle + 1 if off > least * (1 - LEAST_GAIN) else 0
-        if off <= mean * TOLERANCE or idle == IDLE_ROUNDS:
+        over = sum(max(0.0, b - mean) for b in bytes_of)
+        idle = idle + 1 if over > least * (1 - LEAST_GAIN) else 0
+        if max(abs(b - mean) for b in bytes_of) <= mean * TOLERANCE or idle == IDLE_ROUNDS:
             return placed
-        least = min(least, off)
+        least = min(least, over)
         placed = durable(level(placed, bytes_of, k, buckets))
         k += 1
 
 
+def too_large(rows: DataFrame, n_shards: int, total: int) -> list[tuple[int, int]]:
+    """(row, size) of the rows that are larger than the mean of the shards which they leave to the others; fewer than shards."""
+    largest = [(r["row"], r["size"]) for r in rows.orderBy(F.desc("size"), "row").select("row", "size").limit(n_shards - 1).collect()]
+    alone: list[tuple[int, int]] = []
+    for row, size in largest:
+        if size * (n_shards - len(alone)) <= total:
+            break
+        alone.append((row, size))
+        total -= size
+    return alone
+
+
 def place_documents(docs: DataFrame, n_shards: int = SHARDS) -> DataFrame:
     """doc_id, size, text_crc32, shard and slot of every row of docs(doc_id, text).
 
     Documents of equal text are linked. size is the text's UTF-8 bytes and 16;
     a null text has no bytes, crc32 0 and no links. Sizes of shards end up near
     equal (within TOLERANCE of the mean, or as near as rounds that still gain
-    bring them); a link larger than LARGEST_PIECE of a shard is split. Slots count from 0
+    bring them). A document larger than a shard's share stands alone in the
+    last shards, with a warning, and the mean is that of the others. A link
+    larger than LARGEST_PIECE of a shard is split. Slots count from 0
     without gaps in each shard. Repeated rows are placed one by one; an empty
     table gives no rows.
     """
@@ -133,14 +156,22 @@ def place_documents(docs: DataFrame, n_shards: int = SHARDS) -> DataFrame:
         F.coalesce(F.crc32("text"), F.lit(0)).alias("text_crc32"),
         F.md5("text").alias("link"),
     )
-    rows = durable(rows)
+    rows = durable(rows.withColumn("row", F.monotonically_increasing_id()))
     total, n_rows = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
+    alone = too_large(rows, n_shards, total)
+    apart = rows.limit(0).withColumn("shard", F.lit(0))
+    if alone:
+        warnings.warn(f"{len(alone)} documents are larger than a shard's share and have a shard each", stacklevel=2)
+        places = F.create_map(*(x for k, (row, _) in enumerate(alone) for x in (F.lit(row).cast("long"), F.lit(n_shards - 1 - k))))
+        chosen = F.col("row").isin([row for row, _ in alone])
+        apart, rows = rows.filter(chosen).withColumn("shard", F.element_at(places, F.col("row"))), rows.filter(~chosen)
+        n_shards, total = n_shards - len(alone), total - sum(size for _, size in alone)
     mean = total / n_shards
     buckets = max(1, n_rows // (BUCKET_ROWS * n_shards))
     groups = rows.filter("link is not null").groupBy("link").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     pieces = F.ceil(F.col("bytes") / F.lit(max(1.0, mean * LARGEST_PIECE)))
-    placed = rows.join(groups, "link", "left").withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(n_shards)).cast("int"))
-    piece = F.concat_ws("-", F.col("link"), F.pmod(F.xxhash64("doc_id", F.lit("piece")), pieces))
+    placed = rows.join(groups, "link", "left").withColumn("shard", F.pmod(F.xxhash64("doc_id", "row"), F.lit(n_shards)).cast("int"))
+    piece = F.concat_ws("-", F.col("link"), F.pmod(F.xxhash64("row", F.lit("piece")), pieces))
     placed = durable(placed.withColumn("link", F.when(F.col("n") > 1, piece)).withColumn("is_linked", F.col("link").isNotNull()).drop("bytes", "n"))
     alone, linked = placed.filter("not is_linked"), placed.filter("is_linked").withColumnRenamed("shard", "origin")
     tally = durable(linked.groupBy("link", "origin").agg(F.sum("size").alias("held")).withColumn("shard", F.col("origin")))
@@ -156,7 +187,7 @@ def place_documents(docs: DataFrame, n_shards: int = SHARDS) -> DataFrame:
     to = tally.select("link", "origin", F.col("shard").alias("home")).join(homes, ["link", "home"]).select("link", "origin", "shard")
     columns = placed.columns
     placed = units.filter("not is_linked").select(*columns).unionByName(linked.join(to, ["link", "origin"]).select(*columns))
-    placed = levelled(placed, n_shards, mean, buckets)
-    placed = placed.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)))
-    slotted = before(placed, ["shard"], "bucket", [F.col("doc_id"), F.col("text_crc32")], F.lit(1), "slot")
+    placed = levelled(placed, n_shards, mean, buckets).select("doc_id", "size", "text_crc32", "row", "shard")
+    placed = placed.unionByName(apart.select(*placed.columns)).withColumn("bucket", F.pmod(F.xxhash64("row"), F.lit(buckets)))
+    slotted = before(placed, ["shard"], "bucket", [F.col("row")], F.lit(1), "slot")
     return slotted.select("doc_id", "size", "text_crc32", "shard", F.col("slot").cast("long").alias("slot"))

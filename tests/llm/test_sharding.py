@@ -4,6 +4,8 @@ import random
 import zlib
 from collections import defaultdict
 
+import pytest
+
 from tallyweave.llm import sharding as S
 
 
@@ -50,6 +52,38 @@ def test_pairs_only_stay_together(spark):
     assert sum(size) == sum(len(t) + 16 for _, t in rows) and max(abs(v - sum(size) / 8) for v in size) < 0.005 * sum(size) / 8
 
 
+def test_very_uneven_sizes(spark):
+    """Documents larger than a shard stand alone, all other shards are even."""
+    rng = random.Random(6)
+    sizes = [int(200 * rng.paretovariate(1.1)) + 1 for _ in range(2000)]
+    sizes = [min(n, sum(sizes) // 25) for n in sizes]
+    rows = [(i, f"{i} " + "x" * n) for i, n in enumerate(sizes)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    with pytest.warns(UserWarning, match="larger than a shard"):
+        out = S.place_documents(docs).collect()
+    size, members = defaultdict(int), defaultdict(int)
+    for r in out:
+        size[r.shard] += r["size"]
+        members[r.shard] += 1
+    assert len(out) == 2000 and set(size) == set(range(40))
+    alone = {s for s in size if members[s] == 1}
+    rest = [v for s, v in size.items() if s not in alone]
+    mean = sum(rest) / len(rest)
+    assert 0 < len(alone) < 20 and all(size[s] > mean for s in alone)
+    assert max(abs(v - mean) for v in rest) < 0.01 * mean
+
+
+def test_rows_of_one_id(spark):
+    """A third of the rows are one row; another third has no id."""
+    rows = [(7, "the same row")] * 400 + [(None, f"text {i} " * (1 + i % 9)) for i in range(400)] + [(100 + i, "w " * (i % 50)) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    placed = S.place_documents(docs, n_shards=10).cache()
+    size = S.loads(placed, 10)
+    mean = sum(size) / 10
+    assert placed.count() == 1200 and max(abs(v - mean) for v in size) < 0.02 * mean
+    assert sorted((r.doc_id is None, r.doc_id or 0, r["size"]) for r in placed.collect()) == sorted((i is None, i or 0, len(t.encode()) + 16) for i, t in rows)
+
+
 def test_native_plan_small_and_empty(spark):
     docs = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string")
     out = S.place_documents(docs)
