@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import content_hash
 from ..functions.urls import canonical_url, host
-from ..operators import pages
+from ..operators import pages, profiles
 from .entities import read
 
 
@@ -49,7 +49,8 @@ def contact_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages.profiles(read(spark, sf_dir, "pages")).select("page_id", "name", "title", "n_fields", F.col("confidence_score").cast("double").alias("confidence"), "visible_chars", "script_chars", pages.needs_escalation()["reason"].alias("reason"))
+    found = profiles.profiles(read(spark, sf_dir, "pages"))
+    return found.select("page_id", "name", "title", "n_useful", F.col("confidence_score").cast("double").alias("confidence"), "visible_chars", "script_chars", profiles.needs_escalation()["reason"].alias("reason"))
 
 
 QUERIES = {f.__name__: f for f in (canonical_urls, url_clusters, page_links, page_class, frontier_rounds, contact_extract, page_sections)}
