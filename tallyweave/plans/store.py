@@ -7,6 +7,7 @@ shared folder.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..durability import shared_folder
 from ..functions import text as T
-from ..operators import evidence, listings, pages, papers, people, review, runs, upsert
+from ..functions.lexicon import Lexicon
+from ..operators import evidence, listings, pages, papers, people, profiles, review, runs, upsert
 from ..sources import readers, writers
 from .entities import decimal, read
 
@@ -43,15 +45,20 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "orders").withColumn("o_clerk", F.concat(F.lit("Clerk "), (F.col("o_orderkey") % 7).cast("string")))
 
 
+def fresh(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that no other session writes to."""
+    return f"{shared_folder(spark)}/files/{uuid.uuid4()}/{name}"
+
+
 def written_csv(df: DataFrame, name: str) -> str:
-    path = f"{shared_folder(df.sparkSession)}/files/{name}.csv"
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    path = fresh(df.sparkSession, f"{name}.csv")
+    df.write.option("header", True).option("escape", '"').csv(path)
     return path
 
 
 def written_json(df: DataFrame, name: str) -> str:
-    path = f"{shared_folder(df.sparkSession)}/files/{name}.json"
-    df.write.mode("overwrite").json(path)
+    path = fresh(df.sparkSession, f"{name}.json")
+    df.write.json(path)
     return path
 
 
@@ -150,7 +157,7 @@ FROM customer"""
 
 @query(PEOPLE_SQL)
 def export_people(spark, sf_dir):
-    path = f"{shared_folder(spark)}/files/people"
+    path = fresh(spark, "people")
     writers.export(people_of(spark, sf_dir), "people", path)
     return readers.export(spark, path, list(writers.EXPORTS["people"])).select("id", "name", "school", "email", "source_url", "confidence_score", "advisor")
 
@@ -176,7 +183,7 @@ def export_all(spark, sf_dir):
         "gap_report": (review.gap_texts(review.gap_report(who, issues)), "count"), "pages": (read(spark, sf_dir, "pages", "page_id", "url"), "id"),
         "school_seeds": (s.select(F.col("s_suppkey").alias("rank"), F.col("s_name").alias("school_name_en")), "rank"), "school_entrypoints": (s.select(F.col("s_name").alias("school"), F.lit("0").alias("notes")), "notes"),
     }
-    folder, out = f"{shared_folder(spark)}/files/all", []
+    folder, out = fresh(spark, "all"), []
     counts = writers.export_batch({name: df for name, (df, _) in frames.items()}, folder)
     for name, (_, key) in frames.items():
         again = readers.export(spark, f"{folder}/{name}", list(writers.EXPORTS[name]))
@@ -541,3 +548,64 @@ def discovery_job(spark, sf_dir):
     n_issues = issues.groupBy(F.col("source_url").alias("url")).agg(F.count(F.lit(1)).alias("issues"))
     joined = saved.select("url", "page_type", "parser_status").join(n_links, "url", "left").join(n_issues, "url", "left")
     return joined.fillna(0, ["links", "issues"]).select("url", "page_type", "parser_status", F.col("links").cast("long").alias("links"), F.col("issues").cast("long").alias("issues"))
+
+
+# -- people on pages -------------------------------------------------------------------------------
+
+
+def page_of(*parts: Column | str) -> Column:
+    return F.concat(*(F.lit(x) if isinstance(x, str) else x.cast("string") for x in parts))
+
+
+@query("""
+WITH c AS (SELECT c_custkey AS k, c_custkey % 5 AS kind, c_name, 'Aa' || c_nationkey AS nation, c_mktsegment FROM customer)
+SELECT k AS page_id,
+       CASE WHEN kind < 4 THEN c_name ELSE '' END AS name,
+       CASE kind WHEN 2 THEN 'Lecturer of ' || nation WHEN 3 THEN 'Dean' ELSE '' END AS title,
+       CASE kind WHEN 1 THEN 'Institute ' || k || ' of ' || nation WHEN 3 THEN 'Unit ' || nation ELSE '' END AS department,
+       CASE kind WHEN 3 THEN 'p' || k || '@example.org' ELSE '' END AS email,
+       CASE kind WHEN 0 THEN 'Born in ' || nation || ' . Moved ' || k || ' times.' ELSE '' END AS biography,
+       CASE kind WHEN 1 THEN c_mktsegment || ' and more' ELSE '' END AS research,
+       CASE kind WHEN 0 THEN 'PhD ' || k ELSE '' END AS education,
+       CASE kind WHEN 2 THEN 'https://ex.org/real' || k || '.jpg' ELSE '' END AS photo_url,
+       CASE kind WHEN 2 THEN 'https://ex.org/~' || k ELSE '' END AS personal_homepage,
+       CAST([3, 3, 3, 4, 0][kind + 1] / 10.0 AS DOUBLE) AS confidence
+FROM c""")
+def profile_fields(spark, sf_dir):
+    """Customers as profile pages of five shapes: nested sections, a heading in a link beside a label block, three titles and a lazy photo, classes, nothing."""
+    k, kind, nation = F.col("c_custkey"), F.col("c_custkey") % 5, F.concat(F.lit("Aa"), F.col("c_nationkey").cast("string"))
+    name = F.col("c_name")
+    html = (
+        F.when(kind == 0, page_of("<h1>", name, "</h1><h3>Biography</h3><ul><li><p>Born in <b>", nation, "</b>.</p></li></ul><div>Moved ", k, " times.</div><h3>Education</h3><dl><dd>PhD ", k, "</dd></dl><h4>Teaching</h4><p>no</p>"))
+        .when(kind == 1, page_of("<h2 class='name'>", name, "</h2><div><a href='#'><h3>Research Interests</h3></a><p>", F.col("c_mktsegment"), "</p><p>and more</p></div><section><strong>Affiliation</strong>: Institute ", k, " of ", nation, "</section>"))
+        .when(kind == 2, page_of("<i class='title'>Dean</i><p>x</p><p>y</p><h1>", name, "</h1><i class='title'>Lecturer of ", nation, "</i><p>z</p><i class='title'>Chair</i><main><img src='/real", k, ".jpg' data-src='/lazy.jpg'><img class='x-person' src='/logo.png'></main><a href='/~", k, "#top'>Homepage</a>"))
+        .when(kind == 3, page_of("<noscript><h1>Menu</h1></noscript><h1>", name, "</h1><p class='position'>Dean</p><p class='x-division'>Unit ", nation, "</p><a href='mailto:p", k, "@example.org'>write</a>"))
+    )
+    rows = read(spark, sf_dir, "customer").select(k.cast("long").alias("page_id"), page_of("https://ex.org/x/", k).alias("url"), html.alias("html"))
+    found = profiles.profiles(rows)
+    return found.select("page_id", "name", "title", "department", "email", "biography", F.col("research_interests").alias("research"), "education", "photo_url", "personal_homepage", F.col("confidence_score").cast("double").alias("confidence"))
+
+
+@query("""
+WITH s AS (SELECT s_suppkey AS k, s_suppkey % 6 AS kind, s_name FROM supplier)
+SELECT k AS page_id, CASE kind WHEN 0 THEN 'parsed' WHEN 1 THEN 'parsed' WHEN 2 THEN 'parsed' WHEN 3 THEN 'no_profile' WHEN 4 THEN 'skipped_name' ELSE 'parsed_before' END AS parser_status,
+       CASE kind WHEN 0 THEN 'Bo ' || k || ',' || s_name WHEN 1 THEN s_name WHEN 2 THEN 'Bo ' || k || ',' || s_name ELSE '' END AS people,
+       CAST(CASE kind WHEN 0 THEN 2 WHEN 1 THEN 0 WHEN 2 THEN 2 ELSE 0 END AS BIGINT) AS issues
+FROM s""")
+def extraction_job(spark, sf_dir):
+    """Suppliers as pages that wait for extraction: a list, a profile, cards on a page that is no list, nothing, a name that is left out, one that does not wait."""
+    k, kind, name = F.col("s_suppkey"), F.col("s_suppkey") % 6, F.col("s_name")
+    cards = page_of("<ul><li><a href='/people/a", k, "'>", name, "</a> Dean</li><li><a href='/people/b", k, "'>Bo ", k, "</a> Lecturer</li></ul>")
+    whole = lambda n: page_of("<h1>", n, "</h1><p class='position'>Dean</p><p class='x-division'>Unit</p><p>p@example.org</p><h3>Biography</h3><p>Born.</p><h3>Education</h3><p>PhD.</p>")
+    html = F.when(kind.isin(0, 2), cards).when(kind.isin(1, 5), whole(name)).when(kind == 4, whole(F.lit("Zz"))).otherwise("<p>hello</p>")
+    page_type = F.when(kind.isin(0, 3), "faculty_list").otherwise("faculty_candidate")
+    rows = read(spark, sf_dir, "supplier").select(
+        k.cast("long").alias("page_id"), page_of("https://ex.org/p/", k).alias("url"), html.alias("html"), page_type.alias("page_type"),
+        F.when(kind == 5, "parsed_before").otherwise("pending").alias("parser_status"), F.lit("Ex").alias("school"), k.cast("long").alias("seq"),
+    )
+    name_score = decimal(F.when(F.col("name") == "Zz", 0.1).otherwise(0.9))
+    people, issues, after = profiles.extract_profiles(rows, Lexicon({"none": ["no such word"]}), name_score, least=0.45)
+    by_page = people.groupBy("page_id").agg(F.array_join(F.array_sort(F.collect_list("name")), ",").alias("people"))
+    raised = issues.groupBy("page_id").agg(F.count(F.lit(1)).alias("issues"))
+    joined = after.select("page_id", "parser_status").join(by_page, "page_id", "left").join(raised, "page_id", "left")
+    return joined.select("page_id", "parser_status", F.coalesce("people", F.lit("")).alias("people"), F.coalesce("issues", F.lit(0)).cast("long").alias("issues"))

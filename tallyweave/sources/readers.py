@@ -23,7 +23,22 @@ JOURNAL_HEADERS = {
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """All columns as text, in file order (`seq`); a byte order mark is dropped by the reader."""
     rows = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    return rows.withColumn("seq", F.monotonically_increasing_id())
+    return numbered(rows)
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """rows of files that are read whole, with `seq` from 0: files by name, then rows in their file.
+
+    The number is the file's start and the row's place in it, so it does not
+    depend on how files are dealt to tasks. One row a file is summed up.
+    """
+    own = [F.col(f"`{c}`") for c in rows.columns]
+    placed = rows.select(*own, F.col("_metadata.file_path").alias("__file"), F.monotonically_increasing_id().alias("__id"))
+    files = placed.groupBy("__file").agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = files.withColumn("__start", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    seq = (F.col("__start") + F.col("__id") - F.col("__first")).cast("long")
+    return placed.join(starts, "__file").select(*own, seq.alias("seq"))
 
 
 def pick(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:

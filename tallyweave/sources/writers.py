@@ -112,8 +112,20 @@ def write_csv(df: DataFrame, path: str, columns: Sequence[str], aliases: Mapping
     return int(seen.get["n"])
 
 
+#: Order of the files' rows: columns, falling ones with a minus. Files hold ranges of it, in the order of their names.
+ORDERS = {"review_queue": ("-priority_score", "seq"), "people": ("school", "name", "id")}
+
+
+def in_order(df: DataFrame, name: str) -> DataFrame:
+    """df in the order of the export, if it has one and df has its columns."""
+    keys = ORDERS.get(name, ())
+    if not keys or any(k.lstrip("-") not in df.columns for k in keys):
+        return df
+    return df.orderBy(*(F.desc(k[1:]) if k.startswith("-") else F.asc(k) for k in keys))
+
+
 def export(df: DataFrame, name: str, path: str) -> int:
-    return write_csv(df, path, EXPORTS[name], ALIASES.get(name))
+    return write_csv(in_order(df, name), path, EXPORTS[name], ALIASES.get(name))
 
 
 def export_rosters(people: DataFrame, path: str, columns: Sequence[str]) -> dict[str, int]:

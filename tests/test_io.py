@@ -74,3 +74,39 @@ def test_outputs_of_a_run(spark, tmp_path):
     assert got == {"papers": 2, "publication_candidates": 2, "publication_candidates_named": 1, "publication_people_candidates": 2, "publication_quality_report": 2, "publication_quality_report_4": 1}
     r = spark.read.option("header", True).csv(str(tmp_path / "publication_quality_report_4")).first()
     assert (r.journal, r.achievement_level, r.openalex_count, r.source_errors) == ("Omega", "A+", "1", "1")
+
+
+def test_seq_does_not_depend_on_splits(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for k in range(7):
+        (folder / f"part-{k}.csv").write_text("a,b\n" + "".join(f"{k}-{i},\"x\ny\"\n" for i in range(k)))
+    want = {f"{k}-{i}": sum(range(k)) + i for k in range(7) for i in range(k)}
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("1", "40", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            rows = readers.read_csv(spark, str(folder))
+            assert rows.columns == ["a", "b", "seq"] and {r.a: r.seq for r in rows.collect()} == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_sorted_exports(spark, tmp_path):
+    rows = spark.range(500).selectExpr("id", "id AS seq", "cast(id * 37 % 10 AS decimal(9,4)) AS priority_score", "concat('n', id) AS name", "concat('s', id % 7) AS school").repartition(6)
+    import csv
+    import glob
+
+    def read(name):
+        out = []
+        for path in sorted(glob.glob(f"{tmp_path}/{name}/part-*.csv")):
+            with open(path, newline="") as file:
+                out += list(csv.DictReader(file))
+        return out
+
+    assert writers.export(rows, "review_queue", f"{tmp_path}/review_queue") == 500
+    queue = [(-float(r["priority_score"]), int(r["person_id"])) for r in read("review_queue")]
+    assert queue == sorted(queue) and len(queue) == 500
+    assert writers.export(rows, "people", f"{tmp_path}/people") == 500
+    people = [(r["school"], r["name"], int(r["id"])) for r in read("people")]
+    assert people == sorted(people) and len(people) == 500
