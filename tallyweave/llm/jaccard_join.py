@@ -32,6 +32,8 @@ BANDS = HASHES // BAND
 #: MinHash values compared between two prunings, and the tolerance of a pruning.
 STEP, TOLERANCE = 16, 1e-6
 BLOCK = 512
+#: Shingles that the members of a block have on average at most (8 bytes each); a pair of blocks is verified together.
+BLOCK_SHINGLES = 1 << 21
 #: Pairs compared at a time.
 PAIRS_TOGETHER = 1 << 16
 #: Texts whose shingles are made together, and characters (more only if one text has more).
@@ -137,24 +139,28 @@ def stretches(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
 
 
 def sketches(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, id (key of the text), signature and band keys of every text that is not null."""
+    """doc_id, id (key of the text), number of shingles, signature and band keys of every text that is not null."""
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for some in stretches(batch):
-                signatures = np.stack([minhash(s) for s in shingle_sets(some["text"].to_list(), words)])
-                yield pd.DataFrame({"doc_id": some["doc_id"], "id": some["id"], "signature": [s.tobytes() for s in signatures], "keys": list(band_keys(signatures))}).astype({"doc_id": "Int64"})
+                sets = shingle_sets(some["text"].to_list(), words)
+                signatures = np.stack([minhash(s) for s in sets])
+                yield pd.DataFrame({"doc_id": some["doc_id"], "id": some["id"], "size": [len(s) for s in sets], "signature": [s.tobytes() for s in signatures], "keys": list(band_keys(signatures))}).astype({"doc_id": "Int64"})
 
     rows = docs.filter("text is not null").select("doc_id", text_key().alias("id"), "text")
-    return rows.mapInPandas(sketch, "doc_id long, id long, signature binary, keys array<long>")
+    return rows.mapInPandas(sketch, "doc_id long, id long, size long, signature binary, keys array<long>")
 
 
 def block_pairs(members: DataFrame) -> DataFrame:
-    """Rows of (key, n, id, ...) once for each pair of blocks that their block is part of."""
-    n_blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    """Rows of (key, n, total, id, ...) once for each pair of blocks that their block is part of.
+
+    A bucket has as many blocks as its members, or all their shingles, ask for.
+    """
+    n_blocks = F.least("n", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("total") / BLOCK_SHINGLES))).cast("int")
     placed = members.withColumn("blocks", n_blocks).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return placed.withColumn("a", F.least("own", "other")).withColumn("b", F.greatest("own", "other")).withColumn("side", F.when(F.col("own") == F.col("a"), 0).otherwise(1)).drop("blocks", "own", "other")
+    return placed.withColumn("a", F.least("own", "other")).withColumn("b", F.greatest("own", "other")).withColumn("side", F.when(F.col("own") == F.col("a"), 0).otherwise(1)).drop("blocks", "own", "other", "total")
 
 
 GROUP = ["key", "a", "b"]
@@ -172,9 +178,9 @@ def find_links(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS
     texts = durable(known.groupBy("id").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies")))
     firsts = texts.select("id", F.col("first").alias("doc_id"))
     chosen = known.join(firsts, (known.id == firsts.id) & known.doc_id.eqNullSafe(firsts.doc_id), "left_semi").dropDuplicates(["id"])
-    entries = chosen.select("id", F.posexplode("keys").alias("band", "key"))
-    buckets = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("band").alias("band"), F.min("id").alias("first"), F.bit_xor(F.xxhash64("id")).alias("mark"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("mark2")).filter("n > 1")
-    buckets = buckets.groupBy("n", "first", "mark", "mark2").agg(F.min(F.struct("band", "key")).alias("b")).select("b.key", "b.band", "n")
+    entries = chosen.select("id", "size", F.posexplode("keys").alias("band", "key"))
+    buckets = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total"), F.min("band").alias("band"), F.min("id").alias("first"), F.bit_xor(F.xxhash64("id")).alias("mark"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("mark2")).filter("n > 1")
+    buckets = buckets.groupBy("n", "total", "first", "mark", "mark2").agg(F.min(F.struct("band", "key")).alias("b")).select("b.key", "b.band", "n", "total")
     members = entries.select("id", "key").join(buckets, "key")
     grouped = block_pairs(members).join(chosen.select("id", "signature"), "id")
     grouped = grouped.repartition(*GROUP).sortWithinPartitions(*GROUP, "id")
@@ -315,5 +321,7 @@ def one_of_each(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORD
     repeated = durable(told.filter(wins & (F.col("count") > 1)).select(F.col("id").alias(key)))
     if not repeated.limit(1).count():
         return kept.drop(key)
-    once = kept.join(repeated, key, "left_semi").groupBy(key).agg(F.min(F.struct(*(F.col(c) for c in docs.columns))).alias(own)).select(f"{own}.*")
+    # columns that have no order are compared as JSON
+    ordered = [F.to_json(c) if "map<" in kind or "variant" in kind else F.col(c) for c, kind in docs.dtypes]
+    once = kept.join(repeated, key, "left_semi").groupBy(key).agg(F.min_by(F.struct(*(F.col(c) for c in docs.columns)), F.struct(*ordered)).alias(own)).select(f"{own}.*")
     return kept.join(repeated, key, "left_anti").drop(key).unionByName(once)

@@ -91,3 +91,29 @@ def test_long_chains_are_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "one long, two long")
     got = {r.id: r.label for r in J.components(edges).collect()}
     assert all(got[i] == 0 for i in range(61)) and got[101] == got[100] == 100
+
+
+def test_blocks_follow_the_length_of_texts(spark, monkeypatch):
+    """A bucket of long texts is cut into more blocks, with the same links."""
+    rng = random.Random(12)
+    base = [f"w{rng.randint(0, 5000)}" for _ in range(400)]
+    rows = []
+    for i in range(24):
+        words = list(base)
+        for k in rng.sample(range(400), i % 6):
+            words[k] = f"x{i}"
+        rows.append((i, " ".join(words)))
+    rows += [(100 + i, f"short text number {i} of some") for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = sorted(map(tuple, J.near_duplicates(docs).collect()))
+    monkeypatch.setattr(J, "BLOCK_SHINGLES", 900)
+    members = spark.createDataFrame([(1, 24, 9600, i) for i in range(24)], "key long, n long, total long, id long")
+    assert J.block_pairs(members).select("a", "b").distinct().count() > 20
+    assert sorted(map(tuple, J.near_duplicates(docs).collect())) == want
+
+
+def test_repeated_rows_with_a_map_column(spark):
+    docs = spark.createDataFrame([(1, "one text of five words", k % 3) for k in range(9)] + [(2, None, 5)], "doc_id long, text string, k int")
+    docs = docs.withColumn("m", F.create_map(F.lit("k"), F.array("k")))
+    got = sorted(J.one_of_each(docs).collect(), key=lambda r: r.doc_id)
+    assert [(r.doc_id, r.k, r.m) for r in got] == [(1, 0, {"k": [0]}), (2, 5, {"k": [5]})]
