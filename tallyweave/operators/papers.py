@@ -132,6 +132,18 @@ def unique_hits(people: DataFrame, profiles: DataFrame, wanted: Column | None =
     return people.withColumn("__own", normalize_text("name")).join(found, F.col("__own") == F.col("__name"), "left").drop("__own", "__name")
 
 
+def first_hits(people: DataFrame, hits: DataFrame, columns: Sequence[str], order: Sequence[str] = ("rank",)) -> DataFrame:
+    """people with `columns` of the first of the hits(name, ...) that a search for the name gave; null where there is none.
+
+    Of hits of one place the least in its columns counts, so every run gives
+    the same; a name without letters finds nothing.
+    """
+    named = hits.withColumn("__name", normalize_text("name")).filter("__name != ''")
+    firsts = named.groupBy("__name").agg(F.min_by(F.struct(*columns), F.struct(*order, *columns)).alias("__hit"))
+    joined = people.withColumn("__own", normalize_text("name")).join(firsts, F.col("__own") == F.col("__name"), "left")
+    return joined.select(*people.columns, *(F.col(f"__hit.{c}").alias(c) for c in columns))
+
+
 def affiliation_by_first_link(people: DataFrame, works: DataFrame) -> DataFrame:
     """people(paper_links) with the first affiliation of the work that the first link's DOI names."""
     keyed = people.withColumn("doi", F.coalesce(extract_doi(F.try_element_at("paper_links", F.lit(1))), F.lit("")))

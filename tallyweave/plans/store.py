@@ -278,6 +278,34 @@ def unique_hits(spark, sf_dir):
     return papers.unique_hits(c.select("c_custkey", F.lower("name").alias("name")), c.select("name", F.col("c_name").alias("place"))).select("c_custkey", "place")
 
 
+@query("""
+WITH h AS (SELECT c_nationkey || ' ' || (c_custkey % 7) AS name, arg_min(c_name, c_custkey) AS place FROM customer WHERE c_custkey % 4 = 0 GROUP BY 1)
+SELECT o_orderkey, place FROM orders LEFT JOIN h ON name = (o_orderkey % 25) || ' ' || (o_custkey % 7)""")
+def first_hits(spark, sf_dir):
+    """Orders by two digits: of the customers that a search for these gives the first one counts."""
+    c = read(spark, sf_dir, "customer").filter("c_custkey % 4 = 0")
+    hits = c.select(F.concat_ws(" ", F.col("c_nationkey").cast("string"), (F.col("c_custkey") % 7).cast("string")).alias("name"), F.col("c_name").alias("place"), F.col("c_custkey").alias("rank"))
+    wanted = read(spark, sf_dir, "orders").select("o_orderkey", F.concat_ws("  ", (F.col("o_orderkey") % 25).cast("string"), (F.col("o_custkey") % 7).cast("string")).alias("name"))
+    return papers.first_hits(wanted, hits, ["place"]).select("o_orderkey", "place")
+
+
+@query("""
+WITH old AS (SELECT 'https://ex.org/c/' || c_custkey AS url, c_custkey AS k FROM customer WHERE c_custkey % 2 = 0),
+new AS (SELECT 'https://ex.org/c/' || o_custkey AS url, o_custkey AS k, max(o_orderkey % 10) AS best FROM orders GROUP BY 1, 2)
+SELECT coalesce(old.url, new.url) AS url, CASE WHEN old.url IS NULL THEN 'queued' ELSE 'fetched' END AS status, CASE WHEN new.url IS NULL THEN 'old' ELSE 'new' END AS anchor,
+       CAST(coalesce(best / 10.0, 0.5) AS DOUBLE) AS score, CASE WHEN old.url IS NULL THEN NULL ELSE 7 END AS source_id, old.k + 1 AS known_seq
+FROM old FULL JOIN new ON old.url = new.url""")
+def frontier_upsert(spark, sf_dir):
+    """Customers as known links, orders as links found anew: all is taken over but the status, the source stays where none is given."""
+    k = F.col("c_custkey")
+    link = lambda url, anchor, score, status: [url.alias("url"), F.lit("https://ex.org/").alias("source_url"), F.lit(anchor).alias("anchor"), F.lit("unknown").alias("page_type"), decimal(score).alias("score"), F.lit("").alias("school"), F.lit("").alias("department"), F.lit(status).alias("status")]
+    old = read(spark, sf_dir, "customer").filter("c_custkey % 2 = 0").select(*link(F.concat(F.lit("https://ex.org/c/"), k.cast("string")), "old", F.lit(0.5), "fetched"), F.lit(7).cast("long").alias("source_id"), (k + 1).cast("long").alias("seq"))
+    new = read(spark, sf_dir, "orders").select(*link(F.concat(F.lit("http://EX.org/c/"), F.col("o_custkey").cast("string"), F.lit("#x")), "new", (F.col("o_orderkey") % 10) / 10, "queued"))
+    after = pages.into_frontier(old, new)
+    known = F.when(F.col("status") == "fetched", F.col("seq"))
+    return after.select("url", "status", "anchor", F.col("score").cast("double").alias("score"), "source_id", known.alias("known_seq"))
+
+
 @query("""
 SELECT c_custkey, CASE WHEN c_custkey % 3 <> 0 THEN coalesce(('Addr ' || s_suppkey), '') ELSE '' END AS affiliation FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey""")
 def first_link_affiliation(spark, sf_dir):
