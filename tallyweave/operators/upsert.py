@@ -11,9 +11,11 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..durability import kept
 from ..functions.text import is_blank, nz
 
 Policy = Callable[[str, str], Column]
@@ -155,3 +157,48 @@ def prefer_existing(changes: DataFrame, people: DataFrame, name: str = "normaliz
     order = F.struct((~F.coalesce(preferred if preferred is not None else F.lit(False), F.lit(False))).alias("p"), F.col(id_column))
     best = people.groupBy(name).agg(F.min_by(id_column, order).alias("person_id"))
     return changes.join(best, name, "left")
+
+
+# -- stored snapshots ------------------------------------------------------------------------------
+
+#: Parts of a new snapshot, by a hash of the key; as many as make a part fit one task.
+STORED_PARTS = 64
+
+
+def stored_parts(spark: SparkSession, path: str) -> int | None:
+    """Number of parts of the snapshot at `path`, as its folders tell; None if there is none."""
+    try:
+        found = spark.read.parquet(path).select("n_parts").limit(1).collect()
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    return found[0]["n_parts"] if found else None
+
+
+def read_stored(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("n_parts", "part")
+
+
+def upsert_stored(
+    path: str, changes: DataFrame, key: Sequence[str], policies: Mapping[str, Policy], default: Policy = last, seq: str = "seq", null_keys_differ: bool = False, parts: int = STORED_PARTS
+) -> int:
+    """Brings changes into the snapshot stored at `path`, as `upsert` would; returns the number of parts written.
+
+    The snapshot is partitioned by a hash of the key. Only parts that hold a
+    changed key are read and replaced, by Spark's own dynamic overwrite, which
+    moves a job's parts into place when all its tasks have ended. A snapshot keeps the number of
+    parts that it was made with. The part numbers are all that reaches the driver.
+    """
+    spark = changes.sparkSession
+    n = stored_parts(spark, path)
+    count = n or parts
+    part = F.pmod(F.xxhash64(*key), F.lit(count)).cast("int")
+    changes = kept(changes)
+    touched = [r["part"] for r in changes.select(part.alias("part")).distinct().collect()]
+    if not touched:
+        return 0
+    old = None if n is None else spark.read.parquet(path).filter(F.col("part").isin(touched)).drop("n_parts", "part")
+    merged = upsert(old, changes, key, policies, default, seq, null_keys_differ).withColumns({"n_parts": F.lit(count), "part": part})
+    merged.repartition("part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("n_parts", "part").parquet(path)
+    return len(touched)

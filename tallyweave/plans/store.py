@@ -637,3 +637,20 @@ def extraction_job(spark, sf_dir):
     raised = issues.groupBy("page_id").agg(F.count(F.lit(1)).alias("issues"))
     joined = after.select("page_id", "parser_status").join(by_page, "page_id", "left").join(raised, "page_id", "left")
     return joined.select("page_id", "parser_status", F.coalesce("people", F.lit("")).alias("people"), F.coalesce("issues", F.lit(0)).cast("long").alias("issues"))
+
+
+# -- stored snapshots ------------------------------------------------------------------------------
+
+
+@query("""
+WITH c AS (SELECT c_custkey AS k, c_name AS name, c_mktsegment AS note, c_custkey AS seq FROM customer),
+o AS (SELECT o_custkey AS k, arg_max(o_orderpriority, o_orderkey) FILTER (WHERE o_orderpriority <> '') AS note, max(o_orderkey) AS seq FROM orders WHERE o_custkey % 8 = 3 GROUP BY 1)
+SELECT coalesce(c.k, o.k) AS k, c.name, coalesce(o.note, c.note) AS note, greatest(c.seq, o.seq) AS seq FROM c FULL JOIN o ON c.k = o.k""")
+def stored_upserts(spark, sf_dir):
+    """Customers as a stored snapshot, into which orders of some customers come; only the parts of these are written again."""
+    path = fresh(spark, "snapshot")
+    old = read(spark, sf_dir, "customer").select(F.col("c_custkey").cast("long").alias("k"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("note"), F.col("c_custkey").cast("long").alias("seq"))
+    new = read(spark, sf_dir, "orders").filter("o_custkey % 8 = 3").select(F.col("o_custkey").cast("long").alias("k"), F.lit(None).cast("string").alias("name"), F.col("o_orderpriority").alias("note"), F.col("o_orderkey").cast("long").alias("seq"))
+    upsert.upsert_stored(path, old, ["k"], {})
+    upsert.upsert_stored(path, new, ["k"], {"name": upsert.last_known, "note": upsert.last_nonempty})
+    return upsert.read_stored(spark, path)
