@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
+from ..durability import kept
 from ..operators.papers import quality_report
 
+#: The list of a run's outputs, one row each.
+MANIFEST_NAME, MANIFEST = "manifest", "run_id long, output string, n_rows long"
 #: Name score from which a candidate's name passes.
 NAMED = 0.45
 
@@ -143,7 +146,16 @@ def export_batch(frames: Mapping[str, DataFrame], folder: str) -> dict[str, int]
 
 
 def export_run(run_id: int, items: DataFrame, journals: DataFrame, papers: DataFrame, candidates: DataFrame, people_candidates: DataFrame, issues: DataFrame, folder: str) -> dict[str, int]:
-    """All outputs of a run: papers, candidates (all, and those whose name passes), people, the quality report of all journals and of the run's."""
+    """All outputs of a run: papers, candidates (all, and those whose name passes), people, the quality report of all journals and of the run's.
+
+    Frames that several outputs share are computed once. A manifest is taken away
+    first and written last, with the rows of each output, so a folder that has one holds
+    all outputs of one run (see `finished_run`).
+    """
+    spark = papers.sparkSession
+    nothing = spark.createDataFrame([], MANIFEST)
+    nothing.write.mode("overwrite").json(f"{folder}/{MANIFEST_NAME}")
+    papers, candidates, issues, journals = (kept(df) for df in (papers, candidates, issues, journals))
     own = journals.join(items.filter(F.col("run_id") == run_id).select("journal_name").distinct(), "journal_name", "left_semi")
     report = lambda some: quality_report(some, papers, candidates, issues)
     named = {
@@ -154,7 +166,16 @@ def export_run(run_id: int, items: DataFrame, journals: DataFrame, papers: DataF
         "publication_quality_report": ("quality_report", report(journals)),
         f"publication_quality_report_{run_id}": ("quality_report", report(own)),
     }
-    return {name: export(df, kind, f"{folder}/{name}") for name, (kind, df) in named.items()}
+    counts = {name: export(df, kind, f"{folder}/{name}") for name, (kind, df) in named.items()}
+    written = spark.createDataFrame([(run_id, name, n) for name, n in counts.items()], MANIFEST).coalesce(1)
+    written.write.mode("overwrite").json(f"{folder}/{MANIFEST_NAME}")
+    return counts
+
+
+def finished_run(spark: SparkSession, folder: str) -> tuple[int, dict[str, int]] | None:
+    """Run and rows of each output in the folder; None if its outputs are not those of one finished run."""
+    rows = spark.read.schema(MANIFEST).json(f"{folder}/{MANIFEST_NAME}").collect()
+    return (rows[0].run_id, {r.output: r.n_rows for r in rows}) if rows else None
 
 
 def write_record(record: DataFrame, path: str) -> None:

@@ -72,10 +72,29 @@ def test_outputs_of_a_run(spark, tmp_path):
     issues = spark.createDataFrame([("publication_source_error", "no papers for omega")], "issue_type string, message string")
     got = writers.export_run(4, items, journals, papers, candidates, candidates, issues, str(tmp_path))
     assert got == {"papers": 2, "publication_candidates": 2, "publication_candidates_named": 1, "publication_people_candidates": 2, "publication_quality_report": 2, "publication_quality_report_4": 1}
+    assert writers.finished_run(spark, str(tmp_path)) == (4, got)
     r = spark.read.option("header", True).csv(str(tmp_path / "publication_quality_report_4")).first()
     assert (r.journal, r.achievement_level, r.openalex_count, r.source_errors) == ("Omega", "A+", "1", "1")
 
 
+def test_a_run_that_breaks_off_has_no_manifest(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    items = spark.createDataFrame([(4, "Omega")], "run_id long, journal_name string")
+    journals = spark.createDataFrame([("Omega", "A+")], "journal_name string, achievement_level string")
+    papers = spark.createDataFrame([("t", "Omega", "openalex", "x", ["u"])], "title string, journal string, source string, first_author_name string, affiliations array<string>")
+    candidates = spark.createDataFrame([("A", "Omega", 0.9)], "name string, journal string, name_rule_score double")
+    issues = spark.createDataFrame([("publication_source_error", "no papers for omega")], "issue_type string, message string")
+    frames = (items, journals, papers, candidates, candidates)
+    writers.export_run(4, *frames, issues, str(tmp_path))
+    broken = candidates.withColumn("name", F.raise_error(F.lit("broken")).cast("string"))
+    try:
+        writers.export_run(5, *frames[:4], broken, issues, str(tmp_path))
+    except Exception as error:
+        assert "broken" in str(error)
+    assert writers.finished_run(spark, str(tmp_path)) is None
+
+
 def test_seq_does_not_depend_on_splits(spark, tmp_path):
     folder = tmp_path / "many"
     folder.mkdir()
