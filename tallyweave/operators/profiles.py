@@ -240,7 +240,8 @@ def profiles_of(pages: DataFrame, el: DataFrame) -> DataFrame:
     """
     own = el.repartition("page_id")
     r = Rows
-    page = own.filter((F.col("json_card") < 0))
+    told = r.tag(PAGE, "title", "h1", "h2", "img", "a") | (r.classes() != "") | r.attr("data-user").isNotNull()
+    page = own.filter((F.col("json_card") < 0) & told)
     in_tag = lambda t, tag: F.array_contains("inside", t) & r.tag(tag)
     names = [r.has_class(c) for c in NAME_CLASSES] + [r.class_part("name"), in_tag("main", "h1"), in_tag("article", "h1"), r.tag("h1"), r.tag("h2")]
     name_rows = [r.first(c & ~r.tag(PAGE), F.struct("text", r.has_class("sr-only").alias("hidden")).alias("x")).alias(f"name_{k}") for k, c in enumerate(names)]
@@ -299,9 +300,9 @@ def profiles_of(pages: DataFrame, el: DataFrame) -> DataFrame:
     out = computed(out.withColumn("photo", best_photo(F.col("photos"), F.col("name"))).drop("photos"))
     photo = F.when(F.col("photo") != "", canonical_url(absolute_url("photo", "url")))
     out = computed(out.withColumns({"photo_url": F.coalesce(photo, F.lit("")), "personal_homepage": F.coalesce(F.when(F.col("home").isNotNull(), canonical_url("home")), F.lit(""))}))
-    told = ["name", "title", "email", "school", "department", "research_interests", "biography", "education", "advisor", "photo_url"]
-    count = sum((F.when(~is_blank(c), 1).otherwise(0) for c in told), F.lit(0))
-    return out.withColumns({"n_useful": count, "confidence_score": share_of(told)}).select("page_id", *COLUMNS, "n_useful", "visible_chars", "script_chars")
+    useful = ["name", "title", "email", "school", "department", "research_interests", "biography", "education", "advisor", "photo_url"]
+    count = sum((F.when(~is_blank(c), 1).otherwise(0) for c in useful), F.lit(0))
+    return out.withColumns({"n_useful": count, "confidence_score": share_of(useful)}).select("page_id", *COLUMNS, "n_useful", "visible_chars", "script_chars")
 
 
 def is_probable_profile() -> Column:
