@@ -130,3 +130,22 @@ def test_risk_gradient_is_that_of_the_clamped_risk():
             step[i] = 1e-6
             assert abs(got[i] - (risk(out + step) - risk(out - step)) / 2e-6) < 1e-7
     assert clamped == {False, True}
+
+
+def test_toxicity_score_is_that_of_the_plain_sum(spark):
+    """Each distinct sign of a text counts once, wherever in a text of any length it stands."""
+    sign = lambda kind, s: zlib.crc32(kind + s.encode())
+    weights = {sign(b"w", "bad"): 1.5, sign(b"w", "worse"): 0.75, sign(b"w", "fine"): 0.25, sign(b"w", "élan"): 2.0} | {sign(b"p", "worst"[:n]): 0.125 * n for n in X.PREFIXES}
+    model = X.Model(bias=-2.0, weights=weights, prior=0.1)
+    texts = [None, "", "123 !?", "bad", "BAD, bad. (bad)", "worse", "worsening", "fine " * 200_000 + "élan", "x" * 300_000 + " bad", "un-bad b-ad ba", "worst worse"]
+
+    def plain(text):
+        found = set()
+        for token in (text or "").lower().split():
+            word = "".join(c for c in token if c.isalpha())
+            found |= ({sign(b"w", word)} | {sign(b"p", word[:n]) for n in X.PREFIXES if len(word) > n}) if word else set()
+        return 1 / (1 + np.exp(2.0 - sum(weights.get(f, 0.0) for f in found)))
+
+    docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, score int").repartition(3)
+    got = {r.doc_id: r.s for r in docs.select("doc_id", X.toxicity(docs, model).alias("s")).collect()}
+    assert all(abs(got[i] - plain(t)) < 1e-12 for i, t in enumerate(texts)) and len({round(s, 6) for s in got.values()}) > 4
