@@ -50,8 +50,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix of sources takes it.
 
-    Rows alike in doc_id, source and size are taken equally often; null and
-    empty texts have no words and are not taken; a null source is a source.
+    Every row is an entry of its own, repeated ones too; null and empty texts
+    have no words and are not taken; a null source is a source.
     """
     return mixed_documents(docs)
 
