@@ -201,3 +201,59 @@ def test_scores_without_training_rows(spark):
     out = C.score_texts(docs).collect()
     assert len(out) == docs.count() and all(r.train_tokens == 0 and r.n_known == 0 and r.score < 0 for r in out)
     assert C.score_texts(docs.limit(0)).count() == 0
+
+
+def test_all_training_texts_and_words_teach(spark):
+    """The query's model is the one of all training texts at once, texts of more than 20,000 bytes included."""
+    rows = [(i, t) for i, t in sample_rows() if i is not None]
+    texts, out_of = [(t or "").encode() for _, t in rows], np.array([held(i) for i, _ in rows])
+    training = [t for t, h in zip(texts, out_of) if not h]
+    assert max(map(len, training)) > 20_000
+    listed = C.function_words(training)
+    answers, n_train, n_types = count([(texts, out_of), (training, [True] * len(training))], listed, 0)
+    model = C.learn_model(training, listed, answers[1], 0, n_train)
+    chunk = N.read_chunk(training, listed, 0)
+    asked = C.ask(C.read(chunk, answers[1], np.ones(len(training), dtype=bool), n_train, n_types))
+    assert (model.asking.counts.sum(axis=(1, 2)) == len(asked.bit)).all()
+    assert (model.spelling.counts.sum(axis=(1, 2)) == 8 * sum(len(w) + 1 for w in {w for t in training for w in C.tokens(t.decode())})).all()
+    want = C.score_chunk(texts, out_of, answers[0], C.Model(model.asking, model.spelling, None, listed), 0, n_train, n_types)["score"]
+    out = C.score_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((r.doc_id, round(r.score, 6)) for r in out) == sorted((i, round(float(s), 6)) for (i, _), s in zip(rows, want))
+
+
+def test_a_training_text_is_scored_without_its_own_bits():
+    rows = sample_rows()[:60]
+    texts = [t.encode() for i, t in rows if not held(i)]
+    listed = C.function_words(texts)
+    answers, n_train, n_types = count([(texts, [False] * len(texts))], listed, 0)
+    model = C.learn_model(texts, listed, answers[0], 0, n_train)
+    reading = C.read(N.read_chunk(texts, listed, 0), answers[0], np.ones(len(texts), dtype=bool), n_train, n_types)
+    got = C.asking_costs(reading, C.ask(reading), model.asking, own_out=True)
+    for i in (0, 7, len(texts) - 1):
+        one = reading.of(np.arange(len(texts)) == i)
+        tally = C.Tally(model.asking)
+        C.tally_texts(one, tally, model.asking)
+        a = model.asking
+        others = C.Mixer(a.counts - tally.counts, a.weights, a.map, a.curve)
+        assert abs(C.asking_costs(one, C.ask(one), others)[0] - got[i]) < 1e-6 * got[i]
+
+
+def test_tallies_add_up_whatever_the_cut():
+    rows = sample_rows()[:40]
+    texts = [t.encode() for _, t in rows]
+    listed = C.function_words(texts)
+    answers, n_train, n_types = count([(texts, [False] * len(texts))], listed, 0)
+    mixer = C.learn_model(texts, listed, answers[0], 0, n_train).asking
+    reading = C.read(N.read_chunk(texts, listed, 0), answers[0], np.ones(len(texts), dtype=bool), n_train, n_types)
+
+    def sums(size):
+        told = {}
+        for at in range(0, len(texts), size):
+            tally = C.Tally(mixer)
+            which = np.arange(len(texts))
+            C.tally_texts(C.Reading.from_blob(reading.of((which >= at) & (which < at + size)).blob()), tally, mixer)
+            for key, blob in tally.rows():
+                told.setdefault(key, []).append((key, blob))
+        return {key: C.added(own)[1] for key, own in told.items()}
+
+    assert sums(len(texts)) == sums(7) == sums(1)
