@@ -257,3 +257,15 @@ def test_tallies_add_up_whatever_the_cut():
         return {key: C.added(own)[1] for key, own in told.items()}
 
     assert sums(len(texts)) == sums(7) == sums(1)
+
+
+def test_no_generation_is_left_out_of_weights_and_map():
+    """Each bit is counted once and hits the map once, whichever generation its text is in."""
+    texts = [t.encode() for _, t in sample_rows()[:90]]
+    listed = C.function_words(texts)
+    answers, n_train, n_types = count([(texts, [False] * len(texts))], listed, 0)
+    model = C.learn_model(texts, listed, answers[0], 0, n_train)
+    asked = C.ask(C.read(N.read_chunk(texts, listed, 0), answers[0], np.ones(len(texts), dtype=bool), n_train, n_types))
+    spelled = 8 * sum(len(w) + 1 for w in {w for t in texts for w in C.tokens(t.decode())})
+    for mixer, first, bits in ((model.asking, C.first_mixer(5, C.ASK_GATES, 1), len(asked.bit)), (model.spelling, C.first_mixer(6, C.SPELL_GATES, 1), spelled)):
+        assert (mixer.map - first.map)[:, :, 1].sum() == bits and (mixer.counts.sum(axis=(1, 2)) == bits).all()
