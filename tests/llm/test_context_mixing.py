@@ -269,3 +269,44 @@ def test_no_generation_is_left_out_of_weights_and_map():
     spelled = 8 * sum(len(w) + 1 for w in {w for t in texts for w in C.tokens(t.decode())})
     for mixer, first, bits in ((model.asking, C.first_mixer(5, C.ASK_GATES, 1), len(asked.bit)), (model.spelling, C.first_mixer(6, C.SPELL_GATES, 1), spelled)):
         assert (mixer.map - first.map)[:, :, 1].sum() == bits and (mixer.counts.sum(axis=(1, 2)) == bits).all()
+
+
+def test_words_that_begin_alike_are_spelled_once(monkeypatch):
+    """Shared bits are tallied once, with the sums of all of them; costs are those of each word spelled by itself."""
+    rng = random.Random(7)
+    some = sorted({("stemword" + w).encode() for w in words(rng, ["th", "an", "er", "on"], 400).split()} | {b"x", b"z" * 70_000})
+    rng.shuffle(some)
+    mixer, bits = C.learn_spelling(some[: len(some) // 2]), []
+    shared, plain = C.Tally(mixer), C.Tally(mixer)
+    slots, bit, _, inside = C.spelling_bits(some)
+    plain.add(slots, inside, bit, mixer, C.spelling_gate)
+    add = C.Tally.add
+    monkeypatch.setattr(C.Tally, "add", lambda self, s, k, b, *rest, **more: (bits.append(len(b)), add(self, s, k, b, *rest, **more))[1])
+    C.tally_words(some, shared, mixer)
+    assert sum(bits) < 8 * 71_000 + 0.6 * (len(bit) - 8 * 70_000)
+    for name in ("counts", "hits", "slope", "curve"):
+        assert (getattr(shared, name) == getattr(plain, name)).all(), name
+    taught = np.array([i < len(some) // 2 for i in range(len(some))])
+    together = C.spelling_costs(some, taught, mixer)
+    assert together.tolist() == [C.spelling_costs([w], taught[i : i + 1], mixer)[0] for i, w in enumerate(some)]
+
+
+def test_kept_texts_are_small():
+    """A text is kept for reading again in less than its own size, nearly all its words being different."""
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choices("etaoinshrdlu", k=rng.randint(4, 9))) for _ in range(300)).encode() for _ in range(40)]
+    answers, n_train, n_types = count([(texts, [False] * len(texts))], [], 0)
+    reading = C.read(N.read_chunk(texts, [], 0), answers[0], np.ones(len(texts), dtype=bool), n_train, n_types)
+    assert len(reading.blob()) < sum(map(len, texts))
+
+
+@pytest.mark.parametrize("common", [0.0, 1e-3, 1e-2, 0.9])
+def test_most_used_words(spark, monkeypatch, common):
+    monkeypatch.setattr(C, "COMMON", common)
+    monkeypatch.setattr(N, "CHUNK_BYTES", 2000)
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(200)]
+    rows = [(i, held(i), " ".join(rng.choices(vocabulary, weights=[1 / (j + 3) for j in range(200)], k=50))) for i in range(60)]
+    rows += [(100, False, None), (101, False, "\x0bW5 w5\n")]
+    listed = C.most_used_words(N.packed(spark.createDataFrame(rows, "doc_id long, held_out boolean, text string")))
+    assert listed == C.function_words([(t or "").encode() for _, h, t in rows if not h])
